@@ -1,6 +1,9 @@
 """Imports every query module so that the registry is complete."""
 from tidemark.plans import (  # noqa: F401
     queries_bars,
+    queries_calendar,
+    queries_checks,
+    queries_gate,
     queries_joins,
 )
 from tidemark.plans.registry import ORACLES, QUERIES
