@@ -5,6 +5,8 @@ from tidemark.plans import (  # noqa: F401
     queries_checks,
     queries_gate,
     queries_joins,
+    queries_model,
+    queries_roll,
 )
 from tidemark.plans.registry import ORACLES, QUERIES
 

@@ -181,20 +181,25 @@ V_EOD = """v_eod AS (
 
 
 def eod_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """End-of-day rows plus a later restatement of every third of the month."""
+    """End-of-day rows plus a later restatement of the first days of each month.
+
+    The far contract turns out to have traded far less, so some rolls move.
+    """
     base = eod(spark, sf_dir)
+    far = F.col("expiry") > F.last_day("trade_date")
     fixed = (
-        base.where(F.dayofmonth("trade_date") == 3)
-        .withColumn("close", F.col("close") * 2).withColumn("volume", F.col("volume") * 5)
+        base.where(F.dayofmonth("trade_date") <= 3)
+        .withColumn("close", F.col("close") * 2)
+        .withColumn("volume", F.when(far, F.col("volume") / 128).otherwise(F.col("volume") * 4))
         .withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 7 DAYS")))
     return base.unionByName(fixed)
 
 
 V_EOD_CORRECTED = V_EOD + """, v_eod_corrected AS (
   SELECT * FROM v_eod UNION ALL BY NAME
-  SELECT * REPLACE (close * 2 AS close, volume * 5 AS volume,
-                    ingested_at + INTERVAL 7 DAY AS ingested_at)
-  FROM v_eod WHERE dayofmonth(trade_date) = 3),
+  SELECT * REPLACE (close * 2 AS close, ingested_at + INTERVAL 7 DAY AS ingested_at,
+    CASE WHEN expiry > last_day(trade_date) THEN volume / 128 ELSE volume * 4 END AS volume)
+  FROM v_eod WHERE dayofmonth(trade_date) <= 3),
  v_eod_latest AS (
   SELECT * FROM v_eod_corrected
   QUALIFY row_number() OVER (PARTITION BY exchange, symbol, expiry, trade_date
