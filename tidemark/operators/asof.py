@@ -121,3 +121,15 @@ def with_staleness(matched: DataFrame, max_staleness_seconds: float = 60.0,
         .withColumn("stale", F.coalesce(age_us > F.lit(bound), F.lit(True)))
         .withColumn(price, F.when(age_us <= F.lit(bound), F.col(price)))
     )
+
+
+def every_kth(decisions: DataFrame, k: int, keys: Sequence[str] = KEYS,
+              query_time: str = "query_ts") -> DataFrame:
+    """Every k-th decision of each key in time order, for decisions on a bar grid.
+
+    A grid has at most one decision per bar, so a key's window is bounded by the
+    calendar.
+    """
+    order = Window.partitionBy(*keys).orderBy(query_time)
+    return decisions.withColumn("_rn", F.row_number().over(order) - 1).where(
+        F.col("_rn") % k == 0).drop("_rn")

@@ -6,7 +6,9 @@ from tidemark.plans import (  # noqa: F401
     queries_gate,
     queries_joins,
     queries_model,
+    queries_monitor,
     queries_roll,
+    queries_tables,
 )
 from tidemark.plans.registry import ORACLES, QUERIES
 
