@@ -1,11 +1,13 @@
 """As-of join: the last trade at or before each decision, never one after it.
 
-Plan shape. Trades and decisions are reduced together to one row per (key, instant)
-with a map-side combine, so no instant is larger than one row. A running window
-per (key, slice of time) finds the match inside the slice; the closing trade of the
-latest earlier slice enters each slice as one extra row
-(:mod:`tidemark.functions.carry`). Two shuffles of the rows, two of slice-sized
-frames, no join, and no window partition that grows with a hot key.
+Two plans, chosen by counting the decisions. Few decisions are broadcast and every
+trade is reduced, where it is read, to the winner of its decision or of its slice of
+time, so only winners are shuffled. Otherwise trades and decisions are reduced
+together to one row per (key, instant) with a map-side combine.
+
+Either way a running window per (key, slice) finds the match inside a slice, and the
+closing trade of the latest earlier slice enters it as one extra row
+(:mod:`tidemark.functions.carry`). No window partition grows with a hot key.
 """
 from __future__ import annotations
 
@@ -15,9 +17,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.carry import carried_rows
 from tidemark.functions.times import (
-    MINUTE, SECOND, from_micros, instant, is_ntz, micros, slice_no,
+    HOUR, MINUTE, SECOND, from_micros, instant, is_ntz, micros, slice_no,
 )
-from tidemark.session import within
+from tidemark.session import BROADCAST_ROWS, within, written
 
 KEYS = ("venue", "symbol")
 
@@ -56,15 +58,16 @@ def decision_grid(bars: DataFrame, keys: Sequence[str] = KEYS, newest: int | Non
 def asof_join(decisions: DataFrame, trades: DataFrame, *, keys: Sequence[str] = KEYS,
               query_time: str = "query_ts", trade_time: str = "ts",
               tiebreak: str = "trade_id", carry: Sequence[str] = ("price",),
-              strict: bool = False, slice_us: int = MINUTE, until=None,
-              prune_keys: bool = False) -> DataFrame:
+              strict: bool = False, until=None, prune_keys: bool = False,
+              few_decisions: bool | None = None) -> DataFrame:
     """Left as-of join; one output row per distinct decision.
 
     ``strict`` matches strictly before instead of at-or-before. ``until`` is an upper
     bound of the decision times when the caller knows one; it reaches the scan. There
     is no lower bound: an old match must be found so that its age can be reported.
     ``prune_keys`` keeps only trades of keys that were asked for, through a broadcast
-    semi join whose key list is counted first.
+    semi join whose key list is counted first. ``few_decisions=False``
+    skips counting the decisions and takes the plan for many.
     """
     keys = list(keys)
     prints = trades.where(F.col(trade_time).isNotNull())
@@ -75,42 +78,106 @@ def asof_join(decisions: DataFrame, trades: DataFrame, *, keys: Sequence[str] =
         if within(wanted):
             prints = prints.join(F.broadcast(wanted), keys, "left_semi")
 
-    # One row per (key, instant): whether it was asked for, and the trade that wins it.
-    # The map-side combine also bounds an instant that holds a large share of all rows.
     columns = [tiebreak, *carry]
-    events = (
-        prints.select(*keys, micros(trade_time).alias("_t"), *columns,
-                      micros(trade_time).alias("_trade_us"), F.lit(False).alias("_asked"))
-        .unionByName(
-            decisions.select(*keys, micros(query_time).alias("_t"),
-                             F.lit(True).alias("_asked")),
-            allowMissingColumns=True)
-    )
-    points = (
-        events.groupBy(*keys, "_t")
-        .agg(F.max("_trade_us").alias("_trade_us"), F.max(tiebreak).alias(tiebreak),
-             *[F.max_by(c, tiebreak).alias(c) for c in carry],
-             F.max("_asked").alias("_asked"))
-        .withColumn("_slice", slice_no("_t", slice_us))
-    )
-    carried = carried_rows(points, keys, "_slice", "_trade_us", columns)
-    entering = carried.withColumn("_t", F.col("_slice") * F.lit(slice_us) - 1).withColumn(
-        "_asked", F.lit(False))
+    prints = prints.select(*keys, micros(trade_time).alias("_trade_us"), *columns)
+    asked = decisions.select(*keys, micros(query_time).alias("_t"))
+    small = None if few_decisions is False else _few(asked, keys)
+    few_decisions = small is not None
+    if few_decisions:
+        asked, slice_us = small
+        points = _snapped(prints, asked, keys, columns, strict, slice_us)
+    else:
+        slice_us = MINUTE
+        points = _instants(prints, asked, keys, columns, strict, slice_us)
+
     row = F.when(F.col("_trade_us").isNotNull(), F.struct("_trade_us", *columns))
-    upto = (
-        Window.partitionBy(*keys, "_slice").orderBy("_t")
-        .rowsBetween(Window.unboundedPreceding, -1 if strict else Window.currentRow)
-    )
+    entering = carried_rows(points, keys, "_slice", "_trade_us", columns).withColumns(
+        {"_pos": F.col("_slice") * F.lit(2 * slice_us) - 1, "_asked": F.lit(False)})
+    ordered = Window.partitionBy(*keys, "_slice").orderBy("_pos")
+    upto = (ordered.rowsBetween(Window.unboundedPreceding, -1)
+            if strict and not few_decisions
+            else ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    stamp = from_micros((F.col("_pos") / 2).cast("bigint"), is_ntz(decisions, query_time))
     return (
-        points.unionByName(entering)
-        .select(*keys, "_t", "_asked", F.last(row, ignorenulls=True).over(upto).alias("_m"))
+        points.unionByName(entering, allowMissingColumns=True)
+        .select(*keys, "_pos", "_asked", F.last(row, ignorenulls=True).over(upto).alias("_m"))
         .where("_asked")
-        .select(*keys, from_micros("_t", is_ntz(decisions, query_time)).alias(query_time),
+        .select(*keys, stamp.alias(query_time),
                 from_micros("_m._trade_us", is_ntz(trades, trade_time)).alias("trade_ts"),
                 *[F.col(f"_m.{c}").alias(c) for c in columns])
     )
 
 
+#: Most decisions one slice may hold for trades to look them up in place.
+PER_SLICE = 64
+
+
+def _few(asked: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int] | None:
+    """The distinct decisions, stored, and the slice width to look them up by.
+
+    None when they are too many to broadcast or crowd even one-minute slices; both
+    are counted. The stored table replaces the decisions' own lineage, which would
+    otherwise be evaluated once per use.
+    """
+    head = written(asked.dropDuplicates().limit(BROADCAST_ROWS + 1), "decisions")
+    hour, minute = slice_no("_t", HOUR).alias("_h"), slice_no("_t", MINUTE).alias("_m")
+    seen = (
+        head.groupBy(*keys, hour, minute).agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*keys, "_h").agg(F.sum("n").alias("n"), F.max("n").alias("m"))
+        .agg(F.sum("n").alias("rows"), F.max("n").alias("hour"), F.max("m").alias("minute")).first())
+    if (seen["rows"] or 0) > BROADCAST_ROWS or (seen["minute"] or 0) > PER_SLICE:
+        return None
+    return head, HOUR if (seen["hour"] or 0) <= PER_SLICE else MINUTE
+
+
+def _instants(prints: DataFrame, asked: DataFrame, keys: Sequence[str], columns: Sequence[str],
+              strict: bool, slice_us: int) -> DataFrame:
+    """One row per (key, instant): whether it was asked for, and the trade that wins it.
+
+    The map-side combine also bounds an instant that holds a large share of all rows.
+    """
+    tiebreak, *carry = columns
+    events = prints.select("*", F.col("_trade_us").alias("_t"), F.lit(False).alias("_asked"))
+    both = events.unionByName(asked.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
+    return (
+        both.groupBy("_t", *keys)
+        .agg(F.max("_trade_us").alias("_trade_us"), F.max(tiebreak).alias(tiebreak),
+             *[F.max_by(c, tiebreak).alias(c) for c in carry],
+             F.max("_asked").alias("_asked"))
+        .select(*keys, slice_no("_t", slice_us).alias("_slice"), (F.col("_t") * 2).alias("_pos"),
+                "_asked", "_trade_us", *columns)
+    )
+
+
+def _snapped(prints: DataFrame, asked: DataFrame, keys: Sequence[str], columns: Sequence[str],
+             strict: bool, slice_us: int) -> DataFrame:
+    """Trades reduced, where they are read, to the winner of each decision and slice.
+
+    A trade belongs to the first decision of its slice that may see it, or to the end
+    of the slice. Only the winners are shuffled: at most one row per decision and per
+    (key, slice) from each task, however many trades there are.
+    """
+    asks = asked.withColumn("_slice", slice_no("_t", slice_us))
+    lookup = asks.groupBy(*keys, "_slice").agg(F.sort_array(F.collect_list("_t")).alias("_asks"))
+    placed = (
+        prints.withColumn("_slice", slice_no("_trade_us", slice_us))
+        .join(F.broadcast(asks.select(*keys).distinct()), list(keys), "left_semi")
+        .join(F.broadcast(lookup), [*keys, "_slice"], "left"))
+    at = F.col("_trade_us")
+    seen_by = F.try_element_at(
+        F.filter("_asks", lambda q: q > at if strict else q >= at), F.lit(1))
+    pos = F.coalesce(seen_by * 2, (F.col("_slice") + 1) * F.lit(2 * slice_us) - 1)
+    # The position leads the grouping: the sort below it compares longs, rarely names.
+    winners = (
+        placed.groupBy(pos.alias("_pos"), *keys)
+        .agg(F.max(F.struct("_trade_us", *columns)).alias("_w"))
+        .select(*keys, slice_no("_w._trade_us", slice_us).alias("_slice"), "_pos",
+                F.lit(False).alias("_asked"), "_w.*"))
+    return winners.unionByName(
+        asks.select(*keys, "_slice", (F.col("_t") * 2).alias("_pos"),
+                    F.lit(True).alias("_asked")), allowMissingColumns=True)
+
+
 def with_staleness(matched: DataFrame, max_staleness_seconds: float = 60.0,
                    query_time: str = "query_ts", price: str = "price") -> DataFrame:
     """Age of the match; past the bound the price is nulled and the row kept."""

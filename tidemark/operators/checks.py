@@ -210,17 +210,20 @@ def schema_version_status(version: str, known: DataFrame | None, dataset: str,
     """
     if not readable:
         return "fail", "version history cannot be read, so nothing is published", False
-    seen = [] if known is None else [
-        r[0] for r in known.where(F.col("dataset") == dataset)
-        .groupBy("schema_version").agg(F.max("first_seen").alias("t"))
-        .orderBy(F.desc("t")).select("schema_version").limit(1000).collect()]
-    if version in seen:
+    newest, repeated = None, False
+    if known is not None:
+        seen = known.where(F.col("dataset") == dataset).agg(
+            F.max_by("schema_version", "first_seen").alias("newest"),
+            F.coalesce(F.bool_or(F.col("schema_version") == version), F.lit(False))
+            .alias("repeated")).first()
+        newest, repeated = seen["newest"], seen["repeated"]
+    if repeated:
         return "pass", f"version {version}, unchanged", False
-    if not seen:
+    if newest is None:
         return "pass", f"first sighting of version {version}", True
     if accept:
-        return "pass", f"version changed {seen[0]} to {version}, accepted", True
-    return "fail", f"version changed {seen[0]} to {version} and nobody accepted it", False
+        return "pass", f"version changed {newest} to {version}, accepted", True
+    return "fail", f"version changed {newest} to {version} and nobody accepted it", False
 
 
 #: A retired check name and what it stands for now (fixed values).

@@ -65,7 +65,12 @@ def attach_trailing(decisions: DataFrame, returns: DataFrame, *,
         F.floor(F.col("_last") / chunk).alias("_chunk"))
     both = steps.unionByName(points, allowMissingColumns=True)
     frames = Window.partitionBy(*keys, "_chunk").orderBy("_pos")
-    lengths = sorted({longest - 1, longest - 2, longest} - {0})
+    # The window spans `whole` bars, give or take the one its edges cut.
+    whole, cut = divmod(window_us, span_us)
+    if contaminated:
+        lengths = [whole, whole + 1] if cut else [whole]
+    else:
+        lengths = [n for n in (whole, whole - 1) if n > 0]
 
     def over(agg, length):
         return agg.over(frames.rangeBetween(-(length - 1), 0))

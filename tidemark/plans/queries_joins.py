@@ -29,9 +29,22 @@ def j1(spark, sf):
 @query("j2_asof_many_keys", f"""WITH {S.V_TRADES_USER}, {S.v_decisions('v_trades_user', 'v_d')},
   {asof_sql('v_d', 'v_trades_user')} SELECT * FROM m""")
 def j2(spark, sf):
+    return A.asof_join(S.decisions(spark, sf, "user"), S.trades(spark, sf, "user"),
+                       few_decisions=False)
+
+
+@query("j2_asof_broadcast", f"""WITH {S.V_TRADES_USER}, {S.v_decisions('v_trades_user', 'v_d')},
+  {asof_sql('v_d', 'v_trades_user')} SELECT * FROM m""")
+def j2b(spark, sf):
     return A.asof_join(S.decisions(spark, sf, "user"), S.trades(spark, sf, "user"))
 
 
+@query("j3_asof_strict_many", f"{BASE}, {asof_sql('v_decisions', 'v_latest', '>')} SELECT * FROM m")
+def j3b(spark, sf):
+    return A.asof_join(S.decisions(spark, sf), B.dedup_trades(S.replay(spark, sf)), strict=True,
+                       few_decisions=False)
+
+
 @query("j3_asof_strict", f"{BASE}, {asof_sql('v_decisions', 'v_latest', '>')} SELECT * FROM m")
 def j3(spark, sf):
     return A.asof_join(S.decisions(spark, sf), B.dedup_trades(S.replay(spark, sf)), strict=True)

@@ -98,16 +98,17 @@ def route_stream(stream: DataFrame, out: str, checkpoint: str, *, now,
     next to the output, minus the allowed delay."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        mark = None
+        mark = before = None
         if batch_id > 0:
-            # One marker row per earlier batch.
-            seen = spark.read.parquet(*[f"{out}/marks/batch={i}" for i in range(batch_id)]).agg(
-                (F.max("newest") - F.expr(f"INTERVAL {allowed_delay}")).alias("m")).first()
-            mark = seen["m"]
+            seen = spark.read.parquet(f"{out}/marks/batch={batch_id - 1}").select(
+                "newest", (F.col("newest") - F.expr(f"INTERVAL {allowed_delay}")).alias("m")).first()
+            before, mark = seen["newest"], seen["m"]
         routed = route_rows(batch, now=now, mark=mark, time=time)
         routed.write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
-        written = spark.read.schema(routed.schema).parquet(f"{out}/rows/batch={batch_id}")
-        written.where("route <> 'future'").agg(F.max(time).alias("newest")).write.mode(
+        stored = spark.read.schema(routed.schema).parquet(f"{out}/rows/batch={batch_id}")
+        newest = F.max(F.when(F.col("route") != "future", F.col(time)))
+        kind = dict(routed.dtypes)[time]
+        stored.agg(F.greatest(newest, F.lit(before).cast(kind)).alias("newest")).write.mode(
             "overwrite").parquet(f"{out}/marks/batch={batch_id}")
 
     return per_batch(stream, handle, checkpoint, every=every)
