@@ -119,7 +119,8 @@ def _few(asked: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int] | None:
     are counted. The stored table replaces the decisions' own lineage, which would
     otherwise be evaluated once per use.
     """
-    head = written(asked.dropDuplicates().limit(BROADCAST_ROWS + 1), "decisions")
+    # Bounded by the limit; one partition keeps the small aggregates free of shuffles.
+    head = written(asked.dropDuplicates().limit(BROADCAST_ROWS + 1), "decisions").coalesce(1)
     hour, minute = slice_no("_t", HOUR).alias("_h"), slice_no("_t", MINUTE).alias("_m")
     seen = (
         head.groupBy(*keys, hour, minute).agg(F.count(F.lit(1)).alias("n"))

@@ -84,11 +84,9 @@ def v3(spark, sf):
 
 
 @query("v4_typed_coercion", f"""{RAW} SELECT symbol, id_v AS trade_id, ts_v AS ts, price_v AS price,
-  qty_v AS qty, maker_v AS is_buyer_maker FROM v_gated
-  WHERE ts_v IS NULL OR price_v IS NULL OR qty_v IS NULL OR id_v % 10 < 9""")
+  qty_v AS qty, maker_v AS is_buyer_maker FROM v_gated""")
 def v4(spark, sf):
-    rows = gated(spark, sf).rows
-    return rows.where("ts IS NULL OR price IS NULL OR qty IS NULL OR trade_id % 10 < 9").select(
+    return gated(spark, sf).rows.select(
         "symbol", "trade_id", "ts", "price", "qty", "is_buyer_maker")
 
 

@@ -165,14 +165,16 @@ def s9(spark, sf):
     return U.incremental_rows(S.trades(spark, sf), asked(spark, sf), "symbol")
 
 
-@query("k10_retry_ledger", """SELECT 'f' || CAST(user_id AS VARCHAR) AS fingerprint,
-  bool_or(value > 200) AS ok, count(*) FILTER (NOT value > 200) AS failed_attempts,
-  bool_or(value > 200) OR count(*) FILTER (NOT value > 200) >= 3 AS settled
-  FROM events WHERE event_id % 20 = 0 GROUP BY user_id""")
+@query("k10_retry_ledger", """SELECT 'f' || CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE)
+    AS VARCHAR) AS fingerprint, bool_or(value > 50) AS ok,
+  count(*) FILTER (NOT value > 50) AS failed_attempts,
+  bool_or(value > 50) OR count(*) FILTER (NOT value > 50) >= 3 AS settled
+  FROM events GROUP BY user_id, CAST(ts AS DATE)""")
 def k10(spark, sf):
-    attempts = S.table(spark, sf, "events").where("event_id % 20 = 0").select(
-        F.concat(F.lit("f"), F.col("user_id").cast("string")).alias("fingerprint"),
-        (F.col("value") > 200).alias("ok"))
+    attempts = S.table(spark, sf, "events").select(
+        F.concat_ws("-", F.concat(F.lit("f"), F.col("user_id").cast("string")),
+                    F.to_date("ts").cast("string")).alias("fingerprint"),
+        (F.col("value") > 50).alias("ok"))
     return D.ledger_state(attempts)
 
 

@@ -63,7 +63,7 @@ V_REPLAY = V_TRADES + """, v_replay AS (
 
 
 def decisions(spark: SparkSession, sf_dir: str, symbol: str = "event_type") -> DataFrame:
-    """A grid off the minute edge, a set exactly on trade times, and an unknown key."""
+    """A grid off the minute edge, every trade's own time, and a key nobody traded."""
     base = trades(spark, sf_dir, symbol)
     minute = F.timestamp_micros(
         F.unix_micros(F.col("ts").cast("timestamp"))
@@ -71,10 +71,8 @@ def decisions(spark: SparkSession, sf_dir: str, symbol: str = "event_type") -> D
     ).cast("timestamp_ntz")
     grid = base.select("venue", "symbol",
                        (minute + F.expr("INTERVAL '17.5' SECOND")).alias("query_ts"))
-    exact = base.where(F.col("trade_id") % 3 == 0).select(
-        "venue", "symbol", F.col("ts").alias("query_ts"))
-    unknown = base.where(F.col("trade_id") % 5 == 0).select(
-        "venue", F.lit("NOSUCH").alias("symbol"), F.col("ts").alias("query_ts"))
+    exact = base.select("venue", "symbol", F.col("ts").alias("query_ts"))
+    unknown = grid.withColumn("symbol", F.lit("NOSUCH"))
     return grid.unionByName(exact).unionByName(unknown).dropDuplicates()
 
 
@@ -82,8 +80,9 @@ def v_decisions(trades_view: str = "v_trades", name: str = "v_decisions") -> str
     return f"""{name} AS (
   SELECT DISTINCT venue, symbol,
          date_trunc('minute', ts) + INTERVAL 17500 MILLISECOND AS query_ts FROM {trades_view}
-  UNION SELECT venue, symbol, ts FROM {trades_view} WHERE trade_id % 3 = 0
-  UNION SELECT venue, 'NOSUCH', ts FROM {trades_view} WHERE trade_id % 5 = 0)"""
+  UNION SELECT venue, symbol, ts FROM {trades_view}
+  UNION SELECT venue, 'NOSUCH', date_trunc('minute', ts) + INTERVAL 17500 MILLISECOND
+    FROM {trades_view})"""
 
 
 V_DECISIONS = v_decisions()
