@@ -63,6 +63,8 @@ def duck_types(con, sql):
 def compare(con, df, sql):
     """Empty string when equal, otherwise what differs."""
     got_names, got = spark_rows(df)
+    if not got:
+        return "EMPTY"
     want_names, want = duck_rows(con, sql)
     if got_names != want_names:
         return f"columns {got_names} vs {want_names}"
@@ -94,8 +96,6 @@ def main():
             df = fn(spark, sf_dir)
             if name in ORACLES:
                 problem = compare(con, df, ORACLES[name])
-                if not problem and df.isEmpty():
-                    problem = "EMPTY"
                 kind = "sql"
             else:
                 n = df.count()

@@ -5,6 +5,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.session import small
+
 #: Open end of a validity interval (fixed value).
 OPEN_END = "2999-12-31"
 
@@ -35,7 +37,7 @@ def valid_as_of(facts: DataFrame, versions: DataFrame, keys: Sequence[str], day:
         F.struct("known_from", "known_to", *columns))).alias("_versions"))
     covering = F.filter("_versions", lambda v: (v["known_from"] <= F.col(day))
                         & (v["known_to"] >= F.col(day)))
-    joined = facts.join(folded, list(keys), "left").withColumn(
+    joined = facts.join(small(folded), list(keys), "left").withColumn(
         "_hit", F.try_element_at(covering, F.lit(-1)))
     return joined.select(*facts.columns, *[F.col(f"_hit.{c}").alias(c) for c in columns])
 

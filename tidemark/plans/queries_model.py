@@ -9,6 +9,7 @@ from tidemark.operators import roll as R
 from tidemark.plans import recipes as P
 from tidemark.plans.queries_roll import FULL
 from tidemark.plans.registry import query
+from tidemark.session import small
 from tidemark.sources import samples as S
 
 KEYS = ["exchange", "symbol"]
@@ -237,11 +238,10 @@ def h8(spark, sf):
     return best.select("symbol", F.round("skill_vs_baseline", 7).alias("skill_vs_baseline"))
 
 
-@query("j16_membership", """SELECT event_id, event_type FROM events
-  WHERE event_type IN (SELECT event_type FROM events GROUP BY event_type HAVING sum(value) > 0
-                       ORDER BY event_type LIMIT 3)""")
+@query("j16_membership", """SELECT event_id, event_type FROM events WHERE event_type IN (
+  SELECT event_type FROM events GROUP BY event_type HAVING max(value) > 350)""")
 def j16(spark, sf):
     e = S.table(spark, sf, "events")
-    wanted = e.groupBy("event_type").agg(F.sum("value").alias("v")).where("v > 0").orderBy(
-        "event_type").limit(3).select("event_type")
-    return e.join(F.broadcast(wanted), "event_type", "left_semi").select("event_id", "event_type")
+    wanted = e.groupBy("event_type").agg(F.max("value").alias("v")).where("v > 350")
+    return e.join(small(wanted.select("event_type")), "event_type", "left_semi").select(
+        "event_id", "event_type")

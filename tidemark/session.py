@@ -4,7 +4,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Row bound under which a side may be broadcast after it was counted.
 BROADCAST_ROWS = 200_000
@@ -66,3 +66,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def within(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """True when the frame was counted to hold at most ``rows`` rows."""
     return df.limit(rows + 1).count() <= rows
+
+
+def small(df: DataFrame) -> DataFrame:
+    """The frame marked for broadcast if it was counted to be small, otherwise as it is."""
+    return F.broadcast(df) if within(df) else df
