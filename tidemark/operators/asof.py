@@ -119,14 +119,16 @@ def _few(asked: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int] | None:
     are counted. The stored table replaces the decisions' own lineage, which would
     otherwise be evaluated once per use.
     """
-    # Bounded by the limit; one partition keeps the small aggregates free of shuffles.
-    head = written(asked.dropDuplicates().limit(BROADCAST_ROWS + 1), "decisions").coalesce(1)
+    if not within(asked):
+        return None
+    # Counted; one partition keeps the small aggregates free of shuffles.
+    head = written(asked.dropDuplicates(), "decisions").coalesce(1)
     hour, minute = slice_no("_t", HOUR).alias("_h"), slice_no("_t", MINUTE).alias("_m")
     seen = (
         head.groupBy(*keys, hour, minute).agg(F.count(F.lit(1)).alias("n"))
         .groupBy(*keys, "_h").agg(F.sum("n").alias("n"), F.max("n").alias("m"))
-        .agg(F.sum("n").alias("rows"), F.max("n").alias("hour"), F.max("m").alias("minute")).first())
-    if (seen["rows"] or 0) > BROADCAST_ROWS or (seen["minute"] or 0) > PER_SLICE:
+        .agg(F.max("n").alias("hour"), F.max("m").alias("minute")).first())
+    if (seen["minute"] or 0) > PER_SLICE:
         return None
     return head, HOUR if (seen["hour"] or 0) <= PER_SLICE else MINUTE
 
