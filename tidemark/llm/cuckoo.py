@@ -27,7 +27,7 @@ from tidemark.session import written
 KEYS_PER_BUCKET = 20_000
 SLOT = 4
 MOVES = 200
-ROWS = "doc_id bigint, digest binary, row bigint"
+ROWS = "doc_id bigint, digest binary, row bigint, mark bigint"
 ENTRIES = "bucket bigint, digest binary, newest bigint, newest_row bigint, n bigint"
 INDEX = "bucket bigint, slots int, filter binary, digest binary, newest bigint, newest_row bigint, n bigint"
 
@@ -170,18 +170,19 @@ def rank(newest: int | None, row: int) -> tuple:
 
 
 def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, the digest of the normalised text and a number for each row."""
+    """``doc_id``, the digest of the normalised text, a row number and a hash of the text."""
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             body, offsets = text_bytes(batch.column(1))
             raw, at = body.tobytes(), offsets.tolist()
             found = [sha256(raw[i:j].translate(LOWER_TABLE)).digest() for i, j in zip(at, at[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.binary()), batch.column(2)],
-                names=["doc_id", "digest", "row"])
+                [batch.column(0), pa.array(found, pa.binary()), *batch.columns[2:]],
+                names=["doc_id", "digest", "row", "mark"])
 
     return docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"),
-                       F.monotonically_increasing_id()).mapInArrow(digest, ROWS)
+                       F.monotonically_increasing_id(), F.xxhash64(F.col(text_col).cast("string"))
+                       ).mapInArrow(digest, ROWS)
 
 
 def entries(rows: DataFrame, buckets: int) -> DataFrame:
@@ -239,14 +240,17 @@ def remove(index: DataFrame, gone: DataFrame) -> DataFrame:
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      keys_per_bucket: int = KEYS_PER_BUCKET) -> DataFrame:
-    """Every row with the id that stays for its text, the size of its group and its fate."""
+    """Every row with the id that stays for its text, the size of its group and its fate.
+
+    ``mark`` is a hash of the text as it stands.
+    """
     rows = written(digest_rows(docs, id_col, text_col), "digests")
     buckets = max(16, -(-rows.count() // keys_per_bucket))
     index = index_table(entries(rows, buckets)).select("digest", "newest", "newest_row", "n")
     return rows.join(index, "digest").select(
         "doc_id", F.col("newest").alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("row") == F.col("newest_row")).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"))
+        F.lower(F.hex("digest")).alias("text_sha256"), "mark")
 
 
 DEDUP_SQL = """

@@ -8,8 +8,10 @@ sets. In all orders the tokens that are frequent come last; the rest is shuffled
 in each. Which tokens count as frequent only changes the work, never the result.
 
 Documents with equal sets form a class, which is joined once. Classes that meet under a
-token are first tried against one hub, the smallest of them of like size; links found so
-merge classes, and only pairs of classes that are still apart go through the filters. So no
+token are first tried against one hub, the smallest of them of like size. What a set has
+less or more than its hub is kept: the overlap of two sets of one hub follows from these
+differences alone, so the sets around a hub are compared in blocks of bounded size. Pairs
+that have no hub in common and are not in one component yet go through the filters. So no
 group of near copies is spelled out in pairs, while every link that could change a
 component is looked at.
 
@@ -39,12 +41,16 @@ from tidemark.session import written
 
 ORDERS = 3
 #: A token found in this many documents of one block is reported as frequent.
-FREQUENT = 8
+FREQUENT = 3
 #: Frequent tokens that are put last, the most frequent ones; more are ordered as the rest.
 MOST_FREQUENT = 200_000
+#: Sets around one hub that are compared at once, and the least similarity, in percent, to be among them.
+AROUND = 2048
+CLOSE = 70
+TRIED = "a bigint, b bigint, linked boolean, n_a int, n_b int, less int, differs array<bigint>"
 SETS = ("doc_id bigint, mark bigint, n_shingles bigint, set_a bigint, set_b bigint, "
         "token bigint, seen bigint")
-PREFIXES = "ord int, bucket int, tokens binary, places binary, doc_ids binary, token bigint, doc_id bigint"
+PREFIXES = "ord int, bucket int, tokens binary, places binary, doc_ids binary, sizes binary, token bigint, doc_id bigint"
 MET = "ord int, token bigint, doc_id bigint"
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3],
@@ -141,6 +147,7 @@ def prefixes(batches: Iterator[pa.RecordBatch], n: int, percent: int, buckets: i
         doc_ids = np.array([ids[r] for r in mine], dtype=np.int64)
         every = np.concatenate([np.zeros(0, np.uint64), *(sets[r] for r in mine)])
         edges = np.concatenate([[0], np.cumsum([len(sets[r]) for r in mine])]).astype(np.int64)
+        sizes = np.diff(edges).astype("<u4")
         level = np.zeros(len(every), np.int64)
         if len(frequent) and len(every):
             spot = np.minimum(np.searchsorted(frequent, every), len(frequent) - 1)
@@ -169,62 +176,117 @@ def prefixes(batches: Iterator[pa.RecordBatch], n: int, percent: int, buckets: i
                     used, local = np.unique(owner[lo:hi], return_inverse=True)
                     yield prefix_rows(o, int(bucket[lo]), squeeze.compress(
                         np.diff(token[lo:hi], prepend=np.uint64(0)).tobytes()), squeeze.compress(
-                        local.astype("<u4").tobytes()), squeeze.compress(doc_ids[used].tobytes()))
+                        local.astype("<u4").tobytes()), squeeze.compress(doc_ids[used].tobytes()),
+                        squeeze.compress(sizes[used].tobytes()))
 
 
 def prefix_rows(order: int, bucket: int | None = None, tokens=b"", places: bytes = b"",
-                doc_ids: bytes = b"", docs: np.ndarray | None = None) -> pa.RecordBatch:
+                doc_ids: bytes = b"", sizes: bytes = b"", docs: np.ndarray | None = None) -> pa.RecordBatch:
     n = 1 if docs is None else len(docs)
     blob = [None] * n if docs is not None else None
     return pa.RecordBatch.from_arrays(
         [pa.array([order] * n, pa.int32()), pa.array([bucket] * n, pa.int32()),
          pa.array(blob or [tokens] * n, pa.binary()), pa.array(blob or [places] * n, pa.binary()),
          pa.array(blob or [doc_ids] * n, pa.binary()),
+         pa.array(blob or [sizes] * n, pa.binary()),
          pa.nulls(1, pa.int64()) if docs is None else pa.array(tokens.view(np.int64)),
          pa.nulls(1, pa.int64()) if docs is None else pa.array(docs)],
-        names=["ord", "bucket", "tokens", "places", "doc_ids", "token", "doc_id"])
+        names=["ord", "bucket", "tokens", "places", "doc_ids", "sizes", "token", "doc_id"])
 
 
-def meetings(group: pa.Table) -> pa.Table:
-    """Tokens of a bucket that stand in the prefixes of two rows or more."""
-    tokens, docs = [], []
+def meetings(percent: int, group: pa.Table) -> pa.Table:
+    """Tokens of a bucket that stand in the prefixes of two rows of like size or more."""
+    tokens, docs, sizes = [], [], []
     unzip = zstandard.ZstdDecompressor()
-    for t, p, d in zip(*(group.column(c).to_pylist() for c in ("tokens", "places", "doc_ids"))):
+    for t, p, d, n in zip(*(group.column(c).to_pylist()
+                            for c in ("tokens", "places", "doc_ids", "sizes"))):
+        place = np.frombuffer(unzip.decompress(p), "<u4")
         tokens.append(np.cumsum(np.frombuffer(unzip.decompress(t), np.uint64), dtype=np.uint64))
-        docs.append(np.frombuffer(unzip.decompress(d), np.int64)[
-            np.frombuffer(unzip.decompress(p), "<u4")])
-    token, doc = np.concatenate(tokens), np.concatenate(docs)
-    order = np.argsort(token, kind="stable")
-    token, doc = token[order], doc[order]
-    same = token[1:] == token[:-1]
+        docs.append(np.frombuffer(unzip.decompress(d), np.int64)[place])
+        sizes.append(np.frombuffer(unzip.decompress(n), "<u4")[place].astype(np.int64))
+    token, doc, size = np.concatenate(tokens), np.concatenate(docs), np.concatenate(sizes)
+    order = np.lexsort((size, token))
+    token, doc, size = token[order], doc[order], size[order]
+    near = (token[1:] == token[:-1]) & (size[:-1] * 100 >= size[1:] * percent)
     shared = np.zeros(len(token), bool)
-    shared[1:] |= same
-    shared[:-1] |= same
+    shared[1:] |= near
+    shared[:-1] |= near
     n = int(shared.sum())
     return pa.table({"ord": pa.array(np.full(n, group.column("ord")[0].as_py(), np.int32)),
                      "token": pa.array(token[shared].view(np.int64)), "doc_id": doc[shared]})
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` whose whole sets reach the similarity."""
+def compared(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` at least ``CLOSE`` percent similar, and in what their sets differ."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = []
             for c in (2, 3):
                 body, offsets = text_bytes(batch.column(c))
                 sets.append(shingle_sets(body, offsets, n))
-            good = []
-            for x, y in zip(*sets):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= percent * (len(x) + len(y) - both) and both > 0)
-            keep = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep),
-                                              batch.column(1).filter(keep)], names=["a", "b"])
-
-    second = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    first = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+            rows = []
+            for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in (0, 1)), *sets):
+                differs = np.setxor1d(x, y, assume_unique=True)
+                both = (len(x) + len(y) - len(differs)) // 2
+                alike = 100 * both >= percent * (both + len(differs)) and both > 0
+                if alike or 100 * both >= CLOSE * (both + len(differs)):
+                    rows.append((a, b, alike, len(x), len(y), len(x) - both, differs.view(np.int64)))
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(),
+                     pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
+                names=["a", "b", "linked", "n_a", "n_b", "less", "differs"])
+
+    pairs = written(pairs, "pairs")
+    asked = written(pairs.select(F.col("a").alias("doc_id")).unionByName(
+        pairs.select(F.col("b").alias("doc_id"))).distinct(), "asked")
+    texts = docs.where("text IS NOT NULL").join(asked, "doc_id", "left_semi")
+    second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     return pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b").mapInArrow(
-        check, "a bigint, b bigint")
+        check, TRIED)
+
+
+def around_hub(percent: int, mine: pa.Table, others: pa.Table) -> pa.Table:
+    """Links between sets of one hub: strays of ``mine`` against all of ``others``.
+
+    With d the differences to the hub h, two sets x and y share |h| - less(x) - less(y) plus
+    the number of common differences.
+    """
+    out: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 2]
+    stray = ~np.asarray(mine.column("linked").to_pylist(), dtype=bool)
+    if mine.num_rows and others.num_rows and stray.any():
+        hub = int(others.column("n_a")[0].as_py())
+        ids, n, less = (others.column(c).to_numpy().astype(np.int64) for c in ("b", "n_b", "less"))
+        lists = others.column("differs").combine_chunks()
+        owner = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
+        token = lists.flatten().to_numpy()
+        order = np.argsort(token, kind="stable")
+        token, owner = token[order], owner[order]
+        theirs = mine.select(["b", "n_b", "less", "differs"]).filter(pa.array(stray))
+        for b, n_b, l_b, d in zip(*(theirs.column(c).to_pylist() for c in theirs.column_names)):
+            lo, hi = np.searchsorted(token, d), np.searchsorted(token, d, side="right")
+            hits = [owner[i:j] for i, j in zip(lo.tolist(), hi.tolist()) if j > i]
+            common = np.bincount(np.concatenate(hits), minlength=len(ids)) if hits else 0
+            both = hub - l_b - less + common
+            good = (100 * both >= percent * (n_b + n - both)) & (ids != b) & (both > 0)
+            out.append((np.minimum(ids[good], b), np.maximum(ids[good], b)))
+    return pa.table({c: np.concatenate([o[k] for o in out]) for k, c in enumerate("ab")})
+
+
+def hub_links(tried: DataFrame, percent: int) -> DataFrame:
+    """Links among the sets around each hub, in blocks of about ``AROUND`` sets."""
+    sizes = tried.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / AROUND).cast("int").alias("parts"),
+                                   F.min(F.col("linked").cast("int")).alias("least"))
+    rows = tried.join(sizes.where("least = 0").drop("least"), "a").withColumn(
+        "part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    mine = rows.withColumn("other", every)
+    others = rows.select(*(F.col(c).alias("other" if c == "part" else c) for c in rows.columns)
+                         ).withColumn("part", every)
+    keys = ["a", "part", "other"]
+    return mine.groupBy(*keys).cogroup(others.groupBy(*keys)).applyInArrow(
+        lambda x, y: around_hub(percent, x, y), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -248,7 +310,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     frequent, seen = frequent[order], hot["seen"].to_numpy(np.int64)[order]
     packed = written(docs.mapInArrow(
         lambda b: prefixes(b, n, percent, buckets, frequent, seen), PREFIXES), "prefixes")
-    met = packed.where("bucket IS NOT NULL").groupBy("ord", "bucket").applyInArrow(meetings, MET)
+    met = packed.where("bucket IS NOT NULL").groupBy("ord", "bucket").applyInArrow(
+        lambda group: meetings(percent, group), MET)
     met = met.unionByName(packed.where("bucket IS NULL").select("ord", "token", "doc_id"))
     classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(
         "set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("class"))
@@ -259,28 +322,40 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
         "met")
 
     step = float(np.log(100 / percent))
-    like = met.withColumn("band", F.floor(F.log("n") / F.lit(step)))
-    hubs = like.groupBy("ord", "token", "band").agg(F.min("doc_id").alias("hub"))
-    tried = like.join(hubs, ["ord", "token", "band"]).where("hub < doc_id").groupBy(
-        "doc_id", "hub").agg(F.countDistinct("ord").alias("orders")).where(
+    like = met.withColumn("band", F.floor(F.log("n") / F.lit(step)).cast("int"))
+    least = F.min(F.struct(F.col("doc_id").alias("hub"), F.col("n").alias("hub_n"))).alias("h")
+    fits = (F.col("h.hub") < F.col("doc_id")) & (F.col("n") * 100 >= F.col("h.hub_n") * percent) & (
+        F.col("h.hub_n") * 100 >= F.col("n") * percent)
+    hubs = like.groupBy("ord", "token", "band").agg(least)
+    wide = hubs.groupBy("ord", "token").agg(F.min("h").alias("h"))
+    choice = like.join(hubs, ["ord", "token", "band"]).where(fits).select("ord", "doc_id", "h.hub")
+    choice = choice.unionByName(like.join(wide, ["ord", "token"]).where(fits).select(
+        "ord", "doc_id", "h.hub"))
+    tried = choice.groupBy("doc_id", "hub").agg(F.countDistinct("ord").alias("orders")).where(
         F.col("orders") == ORDERS).groupBy(F.col("doc_id").alias("b")).agg(F.min("hub").alias("a"))
-    links = written(verified(tried, docs_of(docs, sets), n, percent), "stars")
+    tried = written(compared(tried, docs, n, percent), "tried")
+    star = tried.select(F.col("b").alias("doc_id"), F.col("a").alias("hub"))
+    links = written(tried.where("linked").select("a", "b").unionByName(
+        hub_links(tried, percent)).distinct(), "links")
     merged = written(components(links), "merged")
 
-    apart = met.join(merged.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "label", F.coalesce("label", "doc_id"))
+    apart = met.join(merged.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(
+        star, "doc_id", "left").select(
+        "ord", "token", "doc_id", "n", F.coalesce("label", "doc_id").alias("label"),
+        F.coalesce("hub", "doc_id").alias("hub"))
     several = apart.groupBy("ord", "token").agg(
-        F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("ord", "token")
+        F.min("label").alias("x"), F.max("label").alias("y"), F.min("hub").alias("u"),
+        F.max("hub").alias("v")).where("x < y AND u < v").select("ord", "token")
     apart = apart.join(several, ["ord", "token"])
     a, b = apart.alias("a"), apart.alias("b")
     near = (F.col("a.n") * 100 >= F.col("b.n") * percent) & (
         F.col("b.n") * 100 >= F.col("a.n") * percent)
     pairs = a.join(b, (F.col("a.ord") == F.col("b.ord")) & (F.col("a.token") == F.col("b.token"))
-                   & (F.col("a.doc_id") < F.col("b.doc_id"))
+                   & (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.hub") != F.col("b.hub"))
                    & (F.col("a.label") != F.col("b.label")) & near)
     pairs = pairs.groupBy(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).agg(
         F.countDistinct("a.ord").alias("orders")).where(F.col("orders") == ORDERS).select("a", "b")
-    rest = written(verified(pairs, docs_of(docs, sets), n, percent), "rest")
+    rest = written(compared(pairs, docs, n, percent).where("linked").select("a", "b"), "rest")
     labels = components(links.unionByName(rest))
 
     same = sets.join(classes, ["set_a", "set_b", "n_shingles"], "left").join(
@@ -290,11 +365,6 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
         .alias("component_id"))
 
 
-def docs_of(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """One text for each id; an id with several texts keeps that of the least text."""
-    return docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-
-
 JACCARD_SQL = r"""
 WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w

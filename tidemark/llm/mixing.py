@@ -51,13 +51,17 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           source_col: str = "source", slices: int = SLICES) -> DataFrame:
-    """Every row with its words, its source's words and target, and the words the mix takes."""
+    """Every row with its words, its source's words and target, and the words the mix takes.
+
+    ``mark`` is a hash of the text.
+    """
     rows = written(docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         count_between(F.col(text_col).cast("string"), SPACE).alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("bigint").cast("string"), F.lit("")).cast("binary"))
-        .alias("turn"), F.monotonically_increasing_id().alias("row")), "mix-sizes")
+        .alias("turn"), F.xxhash64(F.col(text_col).cast("string")).alias("mark"),
+        F.monotonically_increasing_id().alias("row")), "mix-sizes")
     part = F.substring("turn", 1, 3)
     rows = rows.withColumn("part", part)
     parts = rows.groupBy("source", "part").agg(F.sum("size").alias("words"))
@@ -76,7 +80,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     finish = [F.when(F.col("q.target") > 0, (
         F.col("q.before") + F.col("r.upto") + e * F.col("q.source_size")).cast("double")
         / F.col("q.target")).otherwise(0.0) for e in range(MOST)]
-    rows = written(rows.select("r.doc_id", "r.row", "r.size", "r.turn", "q.rank", "q.source_size",
+    rows = written(rows.select("r.doc_id", "r.mark", "r.row", "r.size", "r.turn", "q.rank", "q.source_size",
                                "q.target", F.array(*finish).alias("finish")), "mix-times")
     copies = rows.where("size > 0").select(
         "row", "size", "turn", "doc_id", "rank", F.posexplode("finish").alias("copy", "time"))
@@ -98,7 +102,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole = F.size(F.filter("finish", lambda t: F.least(F.floor(t * slices), F.lit(
         LATEST * slices)).cast("bigint") < outer))
     return rows.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.when(F.col("size") > 0, (
+        "doc_id", "mark", "size", "source_size", "target", F.when(F.col("size") > 0, (
             whole + F.coalesce("more", F.lit(0))) * F.col("size")).otherwise(0)
         .cast("bigint").alias("taken"))
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, counting, cuckoo, jaccard, licenses, mixing, sharding, vectors
+from tidemark.llm import bpe, counting, cuckoo, jaccard, language, licenses, mixing, sharding, vectors
 from tidemark.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -28,9 +28,20 @@ def op2(spark, sf_dir):
         "doc_id", "n_shingles", "component_id")
 
 
+@query("op3_language_id")
+def op3(spark, sf_dir):
+    return language.document_languages(table(spark, sf_dir, "documents")).drop("mark")
+
+
+@query("page_languages")
+def pages(spark, sf_dir):
+    model = language.fit(table(spark, sf_dir, "documents"))
+    return language.page_languages(table(spark, sf_dir, "pages"), model)
+
+
 @query("op4_exact_dedup", cuckoo.DEDUP_SQL)
 def op4(spark, sf_dir):
-    return cuckoo.exact_duplicates(table(spark, sf_dir, "documents"))
+    return cuckoo.exact_duplicates(table(spark, sf_dir, "documents")).drop("mark")
 
 
 @query("op5_bpe")
@@ -41,7 +52,14 @@ def op5(spark, sf_dir):
 
 @query("op6_mix", mixing.MIX_SQL)
 def op6(spark, sf_dir):
-    return mixing.mixed(table(spark, sf_dir, "documents"))
+    return mixing.mixed(table(spark, sf_dir, "documents")).drop("mark")
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 @query("op8_token_counts")
