@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, counting, cuckoo, jaccard, language, licenses, mixing, sharding, vectors
+from tidemark.llm import bpe, counting, cuckoo, jaccard, language, licenses, mixing, repeats, sharding, vectors
 from tidemark.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -62,6 +62,12 @@ def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
+@query("op7_repeats")
+def op7(spark, sf_dir):
+    return repeats.without_repeats(table(spark, sf_dir, "documents"), finish=repeats.digest_rows,
+                                   schema=repeats.DIGESTS)
+
+
 @query("op8_token_counts")
 def op8(spark, sf_dir):
     counts = counting.token_counts(table(spark, sf_dir, "documents"),
