@@ -40,16 +40,16 @@ from tidemark.llm.words import (
 from tidemark.session import written
 
 ORDERS = 3
-#: A token found in this many documents of one block is reported as frequent.
-FREQUENT = 3
-#: Frequent tokens that are put last, the most frequent ones; more are ordered as the rest.
-MOST_FREQUENT = 200_000
+#: Counters, by hash, of the sets that hold a token; a token is frequent if its counter stands
+#: out from what chance puts there. The table is of this size for any input.
+COUNTERS = 1 << 23
+SLICES = 16
 #: Sets around one hub that are compared at once, and the least similarity, in percent, to be among them.
 AROUND = 2048
 CLOSE = 70
 TRIED = "a bigint, b bigint, linked boolean, n_a int, n_b int, less int, differs array<bigint>"
 SETS = ("doc_id bigint, mark bigint, n_shingles bigint, set_a bigint, set_b bigint, "
-        "token bigint, seen bigint")
+        "slice int, counts binary")
 PREFIXES = "ord int, bucket int, tokens binary, places binary, doc_ids binary, sizes binary, token bigint, doc_id bigint"
 MET = "ord int, token bigint, doc_id bigint"
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -88,7 +88,8 @@ def set_digest(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def read_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """Size and digest of each row's set; and the tokens that are frequent in a block."""
+    """Size and digest of each row's set; and counts of the tokens of the distinct sets."""
+    squeeze = zstandard.ZstdCompressor(level=1)
     marks: list[pa.Array] = []
 
     def kept():
@@ -102,23 +103,51 @@ def read_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
         digests = [set_digest(s) for s in sets]
         rows = len(ids)
         mark = pa.concat_arrays(marks)
-        none = pa.nulls(rows, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [ids, mark.slice(at, rows), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([d[0] for d in digests], pa.int64()),
-             pa.array([d[1] for d in digests], pa.int64()), none, none],
-            names=["doc_id", "mark", "n_shingles", "set_a", "set_b", "token", "seen"])
-        rest = mark.slice(at + rows)
-        marks, at = [rest], 0
+             pa.array([d[1] for d in digests], pa.int64()), pa.nulls(rows, pa.int32()),
+             pa.nulls(rows, pa.binary())],
+            names=["doc_id", "mark", "n_shingles", "set_a", "set_b", "slice", "counts"])
+        marks, at = [mark.slice(at + rows)], 0
         single = {d: s for d, s in zip(digests, sets)}.values()
-        tokens, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *single]),
-                                   return_counts=True)
-        tokens, counts = tokens[counts >= FREQUENT], counts[counts >= FREQUENT]
-        none = pa.nulls(len(tokens), pa.int64())
+        tokens = np.concatenate([np.zeros(0, np.uint64), *single])
+        counts = np.bincount(counter(tokens), minlength=COUNTERS).astype("<u4")
+        none = pa.nulls(SLICES, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, none, none, pa.array(tokens.view(np.int64)),
-             pa.array(counts.astype(np.int64))],
-            names=["doc_id", "mark", "n_shingles", "set_a", "set_b", "token", "seen"])
+            [none, none, none, none, none, pa.array(range(SLICES), pa.int32()),
+             pa.array([squeeze.compress(c.tobytes()) for c in np.split(counts, SLICES)])],
+            names=["doc_id", "mark", "n_shingles", "set_a", "set_b", "slice", "counts"])
+
+
+def counter(tokens: np.ndarray) -> np.ndarray:
+    return (tokens & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
+def add_counts(group: pa.Table) -> pa.Table:
+    unzip = zstandard.ZstdDecompressor()
+    total = np.zeros(COUNTERS // SLICES, np.int64)
+    for blob in group.column("counts").to_pylist():
+        total += np.frombuffer(unzip.decompress(blob), "<u4")
+    return pa.table({"slice": group.column("slice").slice(0, 1), "counts": pa.array(
+        [zstandard.ZstdCompressor().compress(np.minimum(total, 2**32 - 1).astype("<u4").tobytes())],
+        pa.binary())})
+
+
+def token_levels(counted: DataFrame) -> np.ndarray:
+    """Level of every counter: 0, or its count if it stands out. Counts are first added per part."""
+    out = "slice int, counts binary"
+    rows = counted.withColumn("part", F.spark_partition_id() % 64)
+    rows = rows.groupBy("slice", "part").applyInArrow(add_counts, out).groupBy(
+        "slice").applyInArrow(add_counts, out).collect()
+    levels = np.zeros(COUNTERS, np.uint32)
+    size = COUNTERS // SLICES
+    for r in rows:
+        levels[r["slice"] * size:(r["slice"] + 1) * size] = np.frombuffer(
+            zstandard.ZstdDecompressor().decompress(r["counts"]), "<u4")
+    usual = float(np.median(levels))
+    levels[levels <= usual + 6 * np.sqrt(usual) + 8] = 0
+    return levels
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -127,7 +156,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def prefixes(batches: Iterator[pa.RecordBatch], n: int, percent: int, buckets: int,
-             frequent: np.ndarray, seen: np.ndarray) -> Iterator[pa.RecordBatch]:
+             levels: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Prefix tokens of a block's distinct sets under each order, packed by bucket.
 
     Frequent tokens are given as plain rows: the documents that share one may be many.
@@ -148,10 +177,7 @@ def prefixes(batches: Iterator[pa.RecordBatch], n: int, percent: int, buckets: i
         every = np.concatenate([np.zeros(0, np.uint64), *(sets[r] for r in mine)])
         edges = np.concatenate([[0], np.cumsum([len(sets[r]) for r in mine])]).astype(np.int64)
         sizes = np.diff(edges).astype("<u4")
-        level = np.zeros(len(every), np.int64)
-        if len(frequent) and len(every):
-            spot = np.minimum(np.searchsorted(frequent, every), len(frequent) - 1)
-            level = np.where(frequent[spot] == every, seen[spot], 0)
+        level = levels[counter(every)]
         crowded = np.add.reduceat(level > 0, edges[:-1]) > 0 if len(mine) else []
         for o in range(ORDERS):
             turned = mix(every ^ turns[o])
@@ -302,14 +328,11 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                        F.col(text_col).cast("string").alias("text"))
     found = written(docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(
         lambda b: read_sets(b, n), SETS), "sets")
-    sets = found.where("n_shingles IS NOT NULL").drop("token", "seen")
-    hot = found.where("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen")).orderBy(
-        F.desc("seen"), "token").limit(MOST_FREQUENT).toPandas()
-    frequent = hot["token"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(frequent)
-    frequent, seen = frequent[order], hot["seen"].to_numpy(np.int64)[order]
-    packed = written(docs.mapInArrow(
-        lambda b: prefixes(b, n, percent, buckets, frequent, seen), PREFIXES), "prefixes")
+    sets = found.where("n_shingles IS NOT NULL").drop("slice", "counts")
+    levels = zstandard.ZstdCompressor().compress(token_levels(
+        found.where("slice IS NOT NULL").select("slice", "counts")).tobytes())
+    packed = written(docs.mapInArrow(lambda b: prefixes(b, n, percent, buckets, np.frombuffer(
+        zstandard.ZstdDecompressor().decompress(levels), np.uint32)), PREFIXES), "prefixes")
     met = packed.where("bucket IS NOT NULL").groupBy("ord", "bucket").applyInArrow(
         lambda group: meetings(percent, group), MET)
     met = met.unionByName(packed.where("bucket IS NULL").select("ord", "token", "doc_id"))
@@ -317,20 +340,25 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
         "set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("class"))
     member = sets.where("doc_id IS NOT NULL").join(
         classes, ["set_a", "set_b", "n_shingles"]).select("doc_id", "class", "n_shingles").distinct()
-    met = written(met.join(member, "doc_id").select(
-        "ord", "token", F.col("class").alias("doc_id"), F.col("n_shingles").alias("n")).distinct(),
-        "met")
+    met = met.join(member, "doc_id").select("ord", "token", F.col("class").alias("doc_id"),
+                                            F.col("n_shingles").alias("n")).distinct()
+    met = written(met, "met-all")
+    whole = met.groupBy("doc_id").agg(F.countDistinct("ord").alias("orders")).where(
+        F.col("orders") == ORDERS).select("doc_id")
+    met = written(met.join(whole, "doc_id", "left_semi"), "met")
 
     step = float(np.log(100 / percent))
     like = met.withColumn("band", F.floor(F.log("n") / F.lit(step)).cast("int"))
     least = F.min(F.struct(F.col("doc_id").alias("hub"), F.col("n").alias("hub_n"))).alias("h")
     fits = (F.col("h.hub") < F.col("doc_id")) & (F.col("n") * 100 >= F.col("h.hub_n") * percent) & (
         F.col("h.hub_n") * 100 >= F.col("n") * percent)
-    hubs = like.groupBy("ord", "token", "band").agg(least)
-    wide = hubs.groupBy("ord", "token").agg(F.min("h").alias("h"))
-    choice = like.join(hubs, ["ord", "token", "band"]).where(fits).select("ord", "doc_id", "h.hub")
-    choice = choice.unionByName(like.join(wide, ["ord", "token"]).where(fits).select(
-        "ord", "doc_id", "h.hub"))
+    hubs = like.groupBy("ord", "token", "band").agg(least).groupBy("ord", "token").agg(
+        F.collect_list(F.struct("band", "h")).alias("hubs"))
+    mine = F.filter("hubs", lambda x: x["band"] == F.col("band"))
+    choice = like.join(hubs, ["ord", "token"]).select("ord", "doc_id", "n", F.explode(F.array_distinct(
+        F.array(F.array_min(F.transform("hubs", lambda x: x["h"])),
+                F.element_at(mine, 1)["h"]))).alias("h")).where(fits).select(
+        "ord", "doc_id", "h.hub")
     tried = choice.groupBy("doc_id", "hub").agg(F.countDistinct("ord").alias("orders")).where(
         F.col("orders") == ORDERS).groupBy(F.col("doc_id").alias("b")).agg(F.min("hub").alias("a"))
     tried = written(compared(tried, docs, n, percent), "tried")
