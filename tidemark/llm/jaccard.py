@@ -44,9 +44,9 @@ ORDERS = 3
 #: out from what chance puts there. The table is of this size for any input.
 COUNTERS = 1 << 23
 SLICES = 16
-#: Sets around one hub that are compared at once, and the least similarity, in percent, to be among them.
+#: Sets around one hub that are compared at once. A set is among them from half the similarity
+#: asked for; less similar ones differ from the hub in too much to be worth describing so.
 AROUND = 2048
-CLOSE = 70
 TRIED = "a bigint, b bigint, linked boolean, n_a int, n_b int, less int, differs array<bigint>"
 SETS = ("doc_id bigint, mark bigint, n_shingles bigint, set_a bigint, set_b bigint, "
         "slice int, counts binary")
@@ -243,7 +243,7 @@ def meetings(percent: int, group: pa.Table) -> pa.Table:
 
 
 def compared(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` at least ``CLOSE`` percent similar, and in what their sets differ."""
+    """The pairs ``a``, ``b`` at least half as similar as asked, and in what their sets differ."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = []
@@ -255,7 +255,7 @@ def compared(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
                 differs = np.setxor1d(x, y, assume_unique=True)
                 both = (len(x) + len(y) - len(differs)) // 2
                 alike = 100 * both >= percent * (both + len(differs)) and both > 0
-                if alike or 100 * both >= CLOSE * (both + len(differs)):
+                if alike or 200 * both >= percent * (both + len(differs)):
                     rows.append((a, b, alike, len(x), len(y), len(x) - both, differs.view(np.int64)))
             kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(),
                      pa.list_(pa.int64()))
