@@ -28,7 +28,8 @@ def test_drops_by_suffix(spark, tmp_path):
 def test_day_slice_keeps_a_file_without_the_day(spark):
     df = spark.createDataFrame([(date(2026, 1, 5),), (date(2026, 1, 6),)], "d date")
     assert drops.day_slice(df, "d", "2026-01-06").count() == 1
-    assert drops.day_slice(df, "d", "2026-02-06").count() == 2
+    assert drops.day_slice(df, "d", "2026-02-06").count() == 0
+    assert drops.day_slice(df, "d", "2026-02-06", whole_if_absent=True).count() == 2
 
 
 def test_quarantine_of_nothing_writes_nothing(spark, tmp_path):
@@ -85,3 +86,33 @@ def test_calendar_reasons_and_due_days(spark):
     assert [r["day"].day for r in due.collect()] == [1]
     due = K.expected_days(spark, cal, closed, now="2026-10-05 18:56:00", lookback=4)
     assert sorted(r["day"].day for r in due.collect()) == [1, 5]
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+    from tidemark.session import shared_root
+
+    conf = SimpleNamespace(get=lambda *_: None, set=lambda *_: None)
+    unset = SimpleNamespace(isDefined=lambda: False)
+    context = SimpleNamespace(master="yarn", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(
+        getCheckpointDir=lambda: unset)))
+    with pytest.raises(RuntimeError):
+        shared_root(SimpleNamespace(conf=conf, sparkContext=context))
+
+
+def test_a_row_without_version_stays_if_it_is_alone(spark):
+    from tidemark.operators.bars import latest_per_grain
+
+    df = spark.sql("SELECT * FROM VALUES ('a', 1.0, NULL), ('b', 2.0, NULL), "
+                   "('b', 3.0, timestamp_ntz'2026-01-01') AS t(k, v, ingested_at)")
+    got = {r["k"]: r["v"] for r in latest_per_grain(df, ["k"], version="ingested_at").collect()}
+    assert got == {"a": 1.0, "b": 3.0}
+
+
+def test_first_arrival_prefers_dated_copies(spark):
+    from tidemark.operators.checks import latest_by
+
+    df = spark.sql("SELECT * FROM VALUES ('a', 1, NULL), ('a', 2, 5), ('b', 3, NULL) AS t(k, v, o)")
+    assert {r["k"]: r["v"] for r in latest_by(df, ["k"], "o").collect()} == {"a": 2, "b": 3}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.functions.times import (
     FREQUENCIES, SECOND, floor_to, from_micros, instant, is_ntz, micros,
 )
+from tidemark.session import versions_in_order
 
 TRADE_GRAIN = ("venue", "symbol", "trade_id")
 
@@ -23,13 +24,14 @@ def latest_per_grain(df: DataFrame, grain: Sequence[str], version: str = "ingest
     Each column is its own ``max_by`` over the same ordering: the buffers stay
     primitive (hash aggregation, map-side combine, so replays of one row collapse
     before the shuffle) and columns nobody reads are pruned. Rows of one grain see
-    the columns in the same order, so a result row is never a mix of two inputs.
+    the columns in the same order, so a result row is never a mix of two inputs. A row
+    without a version stays if its grain has no other.
     """
     if version not in df.columns:
         raise MissingVersion(f"no {version} column to order duplicates by; got {df.columns}")
     if check_nulls and not df.isEmpty() and df.where(F.col(version).isNotNull()).isEmpty():
         raise MissingVersion(f"{version} is null on every row")
-    order = F.struct(version, *tiebreak) if tiebreak else F.col(version)
+    order = F.struct(version, *tiebreak) if tiebreak else versions_in_order(df, version)
     rest = [c for c in df.columns if c not in grain]
     return (
         df.groupBy(*grain)

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidemark.functions.times import as_col, instant
 
 WEEKDAYS = {"mon": 0, "tue": 1, "wed": 2, "thu": 3, "fri": 4, "sat": 5, "sun": 6}
-SEARCH_DAYS = 30
 
 
 @dataclass(frozen=True)
@@ -85,7 +84,7 @@ def day_spine(df: DataFrame, column: str, before: int = 0, after: int = 0) -> Da
 
 def classify(days: DataFrame, cal: TradingCalendar, holidays: DataFrame) -> DataFrame:
     """``day`` with ``is_trading_day`` and a plain-language ``why_closed``."""
-    joined = days.join(F.broadcast(holidays), "day", "left")
+    joined = days.join(holidays, "day", "left")
     why = F.when(~cal.open_weekday("day"), "weekend").when(
         F.col("holiday").isNotNull(), F.concat(F.lit("holiday: "), F.col("holiday")))
     return joined.select(*[c for c in days.columns], why.alias("why_closed"),
@@ -97,9 +96,9 @@ def trading_days(days: DataFrame, cal: TradingCalendar, holidays: DataFrame) ->
 
 
 def previous_trading_day(calendar: DataFrame) -> DataFrame:
-    """Last trading day strictly before each day of a classified spine (30-day search)."""
+    """Last trading day strictly before each day of a classified spine."""
     # One row per calendar day: a single ordered pass over the spine.
-    back = Window.orderBy("day").rowsBetween(-SEARCH_DAYS, -1)
+    back = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     return calendar.withColumn(
         "previous_trading_day",
         F.max(F.when(F.col("is_trading_day"), F.col("day"))).over(back))
@@ -130,10 +129,10 @@ def with_session(events: DataFrame, calendar: DataFrame, cal: TradingCalendar,
     day replace a range join.
     """
     bounds = sessions(calendar, cal).where(F.col("session_open").isNotNull())
-    today = F.broadcast(bounds.select(F.col("day").alias("_d0"), F.col("session_open").alias("_o0"),
-                                      F.col("session_close").alias("_c0")))
-    eve = F.broadcast(bounds.select(F.col("day").alias("_d1"), F.col("session_open").alias("_o1"),
-                                    F.col("session_close").alias("_c1")))
+    today = bounds.select(F.col("day").alias("_d0"), F.col("session_open").alias("_o0"),
+                          F.col("session_close").alias("_c0"))
+    eve = bounds.select(F.col("day").alias("_d1"), F.col("session_open").alias("_o1"),
+                        F.col("session_close").alias("_c1"))
     local = cal.local_day(time)
     at = F.col(time)
     return (

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.carry import lag_sliced
 from tidemark.functions.times import MINUTE, SECOND, floor_to, instant, micros
 from tidemark.operators.contract import REASON
+from tidemark.session import versions_in_order
 
 FIELDS = ("check_name", "status", "measure", "detail", "rows_in", "rows_out")
 
@@ -149,7 +150,7 @@ def missing_days(clean: DataFrame, calendar: DataFrame, day: str = "trade_date")
     span = present.agg(F.min("day").alias("a"), F.max("day").alias("b"))
     spine = span.where("a < b").select(F.explode(F.sequence("a", "b")).alias("day"))
     open_days = calendar.where("is_trading_day").select("day")
-    return spine.join(F.broadcast(open_days), "day", "left_semi").join(present, "day", "left_anti")
+    return spine.join(open_days, "day", "left_semi").join(present, "day", "left_anti")
 
 
 def short_days(clean: DataFrame, day: str = "trade_date") -> DataFrame:
@@ -310,5 +311,6 @@ def degraded(scores: DataFrame, amber: float = THRESHOLDS["amber"]) -> DataFrame
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
+    newest = versions_in_order(df, order)
     return df.groupBy(*keys).agg(*[
-        (F.max(order) if c == order else F.max_by(c, order)).alias(c) for c in rest])
+        (F.max(order) if c == order else F.max_by(c, newest)).alias(c) for c in rest])

@@ -40,7 +40,7 @@ class Policy:
 
 def decide(requests: DataFrame, policy: Policy) -> DataFrame:
     """Decision and reason per request. A dataset nobody wrote a rule for is denied."""
-    joined = requests.join(F.broadcast(policy.rules(requests.sparkSession)), "dataset", "left")
+    joined = requests.join(policy.rules(requests.sparkSession), "dataset", "left")
     barred = F.col("consumer").isin(policy.barred()) if policy.barred() else F.lit(False)
     listed = F.coalesce(F.array_contains("allow", F.col("consumer")), F.lit(False))
     reason = (

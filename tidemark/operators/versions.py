@@ -5,7 +5,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.session import small
+from tidemark.session import small, versions_in_order
 
 #: Open end of a validity interval (fixed value).
 OPEN_END = "2999-12-31"
@@ -22,8 +22,9 @@ def known_on(table: DataFrame, day) -> DataFrame:
 
 def newest_version(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     rest = [c for c in table.columns if c not in keys]
+    order = versions_in_order(table, "known_from")
     return table.groupBy(*keys).agg(*[
-        (F.max(c) if c == "known_from" else F.max_by(c, "known_from")).alias(c) for c in rest])
+        (F.max(c) if c == "known_from" else F.max_by(c, order)).alias(c) for c in rest])
 
 
 def valid_as_of(facts: DataFrame, versions: DataFrame, keys: Sequence[str], day: str,

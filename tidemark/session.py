@@ -4,7 +4,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 #: Row bound under which a side may be broadcast after it was counted.
 BROADCAST_ROWS = 200_000
@@ -39,12 +39,14 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one only where unset."""
+    """The folder the cluster names for checkpoints; a temporary one only in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = current.get() if current.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -63,6 +65,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def versions_in_order(df: DataFrame, column: str) -> Column:
+    """An ordering by a column that is never null: rows without a version come before all others.
+
+    Dates and times stay primitive, so that aggregates over them can hash.
+    """
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.coalesce(F.col(column), F.lit("0001-01-01").cast(kind))
+    return F.struct(column)
+
+
 def within(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """True when the frame was counted to hold at most ``rows`` rows."""
     return df.limit(rows + 1).count() <= rows

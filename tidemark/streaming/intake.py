@@ -1,5 +1,7 @@
 """Streaming twins: incremental load, replay removal, bars, late rows and dropped files.
 
+Rows may come in any order of time: nothing is dropped for being late.
+
 The query's checkpoint is the cursor. Batch sinks write to a folder named after the
 batch, so a batch that is run again after a failure replaces its own output.
 """
@@ -50,36 +52,45 @@ def per_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], check
     return drain(stream.writeStream.foreachBatch(handle), checkpoint, every=every)
 
 
-def _as_instant(stream: DataFrame, time: str) -> DataFrame:
-    """Watermarks need an instant; naive times are UTC here."""
-    return stream.withColumn(time, F.col(time).cast("timestamp"))
-
-
-def _as_before(df: DataFrame, stream: DataFrame, source: str, column: str | None = None) -> DataFrame:
-    column = column or source
-    return df.withColumn(column, F.col(column).cast(dict(stream.dtypes)[source]))
-
+def drop_replays(stream: DataFrame, grain: Sequence[str] = TRADE_GRAIN) -> DataFrame:
+    """A replayed row collapses onto the first, however late it comes.
 
-def drop_replays(stream: DataFrame, grain: Sequence[str] = TRADE_GRAIN, *, time: str = "ts",
-                 delay: str = "10 minutes") -> DataFrame:
-    """A replayed row within the delay collapses onto the first; state is bounded by it."""
-    timed = _as_instant(stream, time).withWatermark(time, delay)
-    return _as_before(timed.dropDuplicatesWithinWatermark(list(grain)), stream, time)
+    The state holds one entry for each key ever seen; no row is dropped for its age.
+    """
+    return stream.dropDuplicates(list(grain))
 
 
 def stream_bars(stream: DataFrame, width: str = "15 minutes", *,
-                keys: Sequence[str] = ("venue", "symbol"), time: str = "ts",
-                delay: str = "10 minutes") -> DataFrame:
-    """Whole bars only: one appears once its end is behind the watermark."""
+                keys: Sequence[str] = ("venue", "symbol"), time: str = "ts") -> DataFrame:
+    """Bars over all rows so far, for a sink of updates such as :func:`to_latest`.
+
+    A late row changes its bar whatever its age; the state grows with the number of bars.
+    """
     order = F.struct(time, "trade_id")
-    timed = _as_instant(stream, time).withWatermark(time, delay)
-    bars = timed.groupBy(*keys, F.window(time, width)).agg(
+    kind = dict(stream.dtypes)[time]
+    timed = stream.withColumn("_at", F.col(time).cast("timestamp"))
+    return timed.groupBy(*keys, F.window("_at", width)).agg(
         F.min_by("price", order).alias("open"), F.max("price").alias("high"),
         F.min("price").alias("low"), F.max_by("price", order).alias("close"),
         F.sum("qty").alias("volume"), F.count(F.lit(1)).alias("trades"),
-    ).select(*keys, F.col("window.start").alias("bucket"), "open", "high", "low", "close",
-             "volume", "trades")
-    return _as_before(bars, stream, time, "bucket")
+    ).select(*keys, F.col("window.start").cast(kind).alias("bucket"), "open", "high", "low",
+             "close", "volume", "trades")
+
+
+def to_latest(stream: DataFrame, path: str, checkpoint: str, *, every: str | None = None):
+    """Changed rows of each batch, in a folder of the batch that a repeated run replaces."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return drain(stream.writeStream.foreachBatch(handle).outputMode("update"), checkpoint,
+                 every=every)
+
+
+def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Every key's row of the newest batch that changed it."""
+    rows = spark.read.parquet(path)
+    rest = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(*[F.max_by(c, "batch").alias(c) for c in rest])
 
 
 def route_rows(batch: DataFrame, *, now, mark=None, horizon_seconds: int = 60,
