@@ -139,16 +139,13 @@ def _instants(prints: DataFrame, asked: DataFrame, keys: Sequence[str], columns:
 
     The map-side combine also bounds an instant that holds a large share of all rows.
     """
-    tiebreak, *carry = columns
     events = prints.select("*", F.col("_trade_us").alias("_t"), F.lit(False).alias("_asked"))
     both = events.unionByName(asked.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
     return (
         both.groupBy("_t", *keys)
-        .agg(F.max("_trade_us").alias("_trade_us"), F.max(tiebreak).alias(tiebreak),
-             *[F.max_by(c, tiebreak).alias(c) for c in carry],
-             F.max("_asked").alias("_asked"))
+        .agg(F.max(F.struct("_trade_us", *columns)).alias("_w"), F.max("_asked").alias("_asked"))
         .select(*keys, slice_no("_t", slice_us).alias("_slice"), (F.col("_t") * 2).alias("_pos"),
-                "_asked", "_trade_us", *columns)
+                "_asked", "_w.*")
     )
 
 

@@ -82,8 +82,9 @@ def splice_pairs(eod: DataFrame, rolls: DataFrame, price: str = "close") -> Data
 
 
 def _later() -> Window:
-    return Window.partitionBy(*GROUP).orderBy("trade_date").rowsBetween(
-        1, Window.unboundedFollowing)
+    # Newest first, so that each row adds to one running value.
+    return Window.partitionBy(*GROUP).orderBy(F.desc("trade_date")).rowsBetween(
+        Window.unboundedPreceding, -1)
 
 
 def ratio_factor(ratio: Column) -> Column:
