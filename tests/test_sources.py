@@ -1,14 +1,15 @@
 """Drops, configuration, ledger, alert names and calendars."""
+import hashlib
 import json
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.operators import alerts as L
 from tidemark.operators import calendar as K
 from tidemark.operators import deliveries as D
 from tidemark.plans import config
+from tidemark.plans import recipes as P
 from tidemark.sources import drops, landing
 
 
@@ -51,15 +52,25 @@ def test_same_content_under_a_new_name_is_settled(spark, tmp_path):
     assert [r["fingerprint"] for r in D.waiting(files, ledger).collect()] == [prints["c.csv"]]
     spent = ledger.unionByName(ledger.where("NOT ok")).unionByName(ledger.where("NOT ok"))
     assert D.waiting(files, spent).isEmpty()
-    large = D.fingerprints(spark, str(tmp_path), "*.csv", max_hash_bytes=1)
-    assert all(r["fingerprint"].startswith("stat:") for r in large.collect())
+    assert prints["c.csv"] == hashlib.sha256(b"y,2\n").hexdigest()
 
 
 def test_alert_names(spark):
-    titles = ["src: load blocked, see notes", "plain words only here and more", "src: , x"]
-    df = spark.createDataFrame([(t,) for t in titles], "t string")
-    assert [r[0] for r in df.select(L.alert_name(F.col("t"))).collect()] == [
-        "LoadBlocked", "PlainWordsOnlyHere", "PipelineAlert"]
+    gaps = spark.createDataFrame([("nothing", "2026-01-02"), ("partial", "2026-01-05")],
+                                 "kind string, day string")
+    assert [(r["alert"], r["incident"]) for r in L.gap_alerts(gaps, "src").collect()] == [
+        ("DeliveryMissing", "2026-01-02"), ("DeliveryIncomplete", "2026-01-05")]
+
+
+def test_a_scenario_changes_only_what_it_names():
+    recipe = P.Recipe.from_dict({
+        "recipe": {"name": "r", "version": 2}, "target": {"kind": "k", "horizon_days": 1},
+        "features": ["ret_1"], "scenarios": [
+            {"name": "base"}, {"name": "far", "overrides": {"target": {"horizon_days": 5}}},
+            {"name": "wide", "overrides": {"features": ["ret_1", "vol_ratio"]}}]})
+    assert recipe.version == "2" and recipe.settings_of("base")["target.horizon_days"] == 1
+    assert recipe.settings_of("far") == recipe.settings_of("base") | {"target.horizon_days": 5}
+    assert recipe.settings_of("wide")["features"] == ["ret_1", "vol_ratio"]
 
 
 def test_configuration_files(tmp_path):

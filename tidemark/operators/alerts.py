@@ -110,30 +110,25 @@ def vendor_alerts(scores: DataFrame, *, now, warn: float = 0.8, page: float = 0.
     return fired(warn, warn_minutes, "warn").unionByName(fired(page, page_minutes, "page"))
 
 
-def alert_name(title: Column, prefix: str = "") -> Column:
-    """An identifier from a title: the part after the source and before any comma, camel-cased."""
-    tail = F.substring_index(F.regexp_replace(title, "^[^:]*:", ""), ",", 1)
-    words = F.filter(F.split(F.regexp_replace(tail, "[^\\p{L}\\p{N}]+", " "), " "),
-                     lambda w: w != "")
-    joined = F.array_join(F.transform(F.slice(words, 1, 4), lambda w: F.initcap(w)), "")
-    return F.when(joined == "", F.lit(f"{prefix}PipelineAlert")).otherwise(
-        F.concat(F.lit(prefix), joined))
+#: Name of the alert that each kind of finding raises (fixed values).
+NOTHING_CAME, PART_CAME, LOW_SCORE = "DeliveryMissing", "DeliveryIncomplete", "SourceDegraded"
+
+
+def alert_rows(found: DataFrame, source: Column, severity: str, name: Column,
+               incident: Column) -> DataFrame:
+    """Findings as alerts; those of one source, name and incident belong together."""
+    return found.select(source.alias("source"), F.lit(severity).alias("severity"),
+                        name.alias("alert"), incident.cast("string").alias("incident"))
 
 
 def gap_alerts(gaps: DataFrame, source: str) -> DataFrame:
     """One page per incomplete or empty day; the two kinds are named apart."""
-    title = F.concat(F.lit(f"{source}: "), F.when(F.col("kind") == "nothing", "delivery missing")
-                     .otherwise("delivery incomplete"))
-    return gaps.select(
-        F.lit(source).alias("source"), F.lit("page").alias("severity"),
-        alert_name(title).alias("alert"), F.col("day").cast("string").alias("incident"))
+    name = F.when(F.col("kind") == "nothing", NOTHING_CAME).otherwise(PART_CAME)
+    return alert_rows(gaps, F.lit(source), "page", name, F.col("day"))
 
 
 def score_alerts(degraded: DataFrame) -> DataFrame:
-    return degraded.select(
-        "source", F.lit("warn").alias("severity"),
-        alert_name(F.concat(F.col("source"), F.lit(": source degraded"))).alias("alert"),
-        F.col("as_of").cast("string").alias("incident"))
+    return alert_rows(degraded, F.col("source"), "warn", F.lit(LOW_SCORE), F.col("as_of"))
 
 
 # ---- figures -------------------------------------------------------------------

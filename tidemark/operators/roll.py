@@ -181,4 +181,4 @@ def fingerprint(series: DataFrame) -> DataFrame:
     return series.groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("rows"), F.min("trade_date").alias("first_date"),
         F.max("trade_date").alias("last_date"),
-        F.substring(F.sha2(F.concat_ws("|", closes), 256), 1, 12).alias("series_sha"))
+        F.sha2(F.concat_ws("|", closes), 256).alias("series_sha"))

@@ -32,11 +32,10 @@ def gated(spark, sf, contract=TRADES):
 
 
 @query("s1_file_drop_scan", """SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate
-  FROM lineitem WHERE l_quantity > 49""")
+  FROM lineitem""")
 def s1(spark, sf):
     df = drops.read_drop(spark, f"{sf}/lineitem.parquet")
-    return df.select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate").where(
-        "l_quantity > 49")
+    return df.select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
 
 
 @query("s2_column_map", """SELECT o_orderkey AS order_id, o_totalprice AS price, 'SIM' AS exchange,

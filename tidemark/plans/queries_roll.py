@@ -191,7 +191,7 @@ def o1(spark, sf):
 
 
 @query("a17_series_fingerprint", f"""{FULL} SELECT exchange, symbol, count(*) AS rows,
-  min(trade_date) AS first_date, max(trade_date) AS last_date, 12 AS sha_chars
+  min(trade_date) AS first_date, max(trade_date) AS last_date, 64 AS sha_chars
   FROM cont GROUP BY exchange, symbol""")
 def a17(spark, sf):
     out = R.fingerprint(R.continuous_series(S.eod(spark, sf)))

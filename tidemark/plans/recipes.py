@@ -5,7 +5,6 @@ column next to the symbol and the fold.
 """
 from __future__ import annotations
 
-import copy
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -16,74 +15,67 @@ from tidemark.operators import evaluate as E
 from tidemark.operators import features as X
 from tidemark.operators.contract import union_frames
 
-SECTIONS = ("input", "target", "features", "estimator", "validation")
+#: What a recipe may leave out (fixed values).
+DEFAULTS = {"target.horizon_days": 1, "features": X.DEFAULT_FEATURES, "estimator.kind": "ridge",
+            "estimator.alpha": 1.0, "validation.min_train": 250, "validation.test_size": 21}
+
+
+def dotted(blocks: dict) -> dict:
+    """Nested settings under dotted names: a scenario then overlays single settings, lists whole."""
+    return {".".join(path): value for block, content in blocks.items() for path, value in (
+        [((block, name), v) for name, v in content.items()] if isinstance(content, dict)
+        else [((block,), content)])}
 
 
 @dataclass(frozen=True)
 class Recipe:
+    """Settings by dotted name, and what each scenario sets differently."""
+
     name: str
     version: str = "0"
-    input: dict = field(default_factory=dict)
-    target: dict = field(default_factory=dict)
-    features: list = field(default_factory=list)
-    estimator: dict = field(default_factory=dict)
-    validation: dict = field(default_factory=dict)
-    scenarios: list = field(default_factory=lambda: [{"name": "baseline"}])
+    settings: dict = field(default_factory=dict)
+    scenarios: dict[str, dict] = field(default_factory=lambda: {"baseline": {}})
 
     @classmethod
     def from_dict(cls, raw: dict) -> Recipe:
-        meta = raw.get("recipe", {})
-        return cls(meta.get("name", "recipe"), str(meta.get("version", "0")),
-                   raw.get("input", {}), raw.get("target", {}), list(raw.get("features", [])),
-                   raw.get("estimator", {}), raw.get("validation", {}),
-                   raw.get("scenarios") or [{"name": "baseline"}])
+        own = dotted(raw)
+        changes = {s["name"]: dotted(s.get("overrides") or {}) for s in own.pop("scenarios", [])}
+        return cls(own.pop("recipe.name", "recipe"), str(own.pop("recipe.version", "0")), own,
+                   changes or {"baseline": {}})
 
     @classmethod
     def from_json(cls, text: str) -> Recipe:
         return cls.from_dict(json.loads(text))
 
-    def resolve(self, scenario: dict) -> dict:
-        """Base settings with a scenario's overrides, merged one level deep."""
-        out = {s: copy.deepcopy(getattr(self, s)) for s in SECTIONS}
-        for key, value in (scenario.get("overrides") or {}).items():
-            if isinstance(value, dict) and isinstance(out.get(key), dict):
-                out[key] = {**out[key], **value}
-            else:
-                out[key] = value
-        return out
+    def settings_of(self, scenario: str) -> dict:
+        return DEFAULTS | self.settings | self.scenarios[scenario]
+
+    def chosen(self, names: Sequence[str] | None) -> dict[str, dict]:
+        """Settings of the named scenarios, of all if none are named."""
+        return {s: self.settings_of(s) for s in self.scenarios if not names or s in names}
 
 
 #: The sample recipe and its variations (fixed values).
 SAMPLE = Recipe(
     "daily_return", "1.0",
-    input={"adjust": "ratio", "roll_method": "volume"},
-    target={"kind": "forward_return", "horizon_days": 1},
-    features=list(X.DEFAULT_FEATURES),
-    estimator={"kind": "ridge", "alpha": 1.0},
-    validation={"min_train": 250, "test_size": 21},
-    scenarios=[
-        {"name": "baseline"},
-        {"name": "longer_horizon", "overrides": {"target": {"horizon_days": 5}}},
-        {"name": "price_only", "overrides": {"features": ["ret_1", "ret_5", "ret_20"]}},
-        {"name": "stronger_penalty", "overrides": {"estimator": {"alpha": 25.0}}},
-        {"name": "shorter_history", "overrides": {"validation": {"min_train": 125}}},
-    ])
-
-
-def _chosen(recipe: Recipe, names: Sequence[str] | None) -> list[dict]:
-    return [s for s in recipe.scenarios if not names or s["name"] in names]
+    {"input.adjust": "ratio", "input.roll_method": "volume", "target.kind": "forward_return"},
+    {"baseline": {},
+     "longer_horizon": {"target.horizon_days": 5},
+     "more_features": {"features": ["ret_1", "ret_5", "ret_20", "vol_20", "vol_60", "mom_10",
+                                    "mom_60", "dist_ma50", "dist_ma200", "rsi_14", "vol_ratio"]},
+     "price_only": {"features": ["ret_1", "ret_5", "ret_20"]},
+     "stronger_penalty": {"estimator.alpha": 25.0},
+     "shorter_history": {"validation.min_train": 125}})
 
 
 def scenario_features(prices: DataFrame, recipe: Recipe,
                       scenarios: Sequence[str] | None = None) -> DataFrame:
     """Feature rows of every scenario; inputs a scenario does not use are zero."""
-    wanted = _chosen(recipe, scenarios)
-    resolved = [(s["name"], recipe.resolve(s)) for s in wanted]
-    every = sorted({f for _, cfg in resolved for f in cfg["features"]})
+    chosen = recipe.chosen(scenarios)
+    every = sorted({f for settings in chosen.values() for f in settings["features"]})
     frames = []
-    for name, cfg in resolved:
-        horizon = int(cfg["target"].get("horizon_days", 1))
-        used = cfg["features"]
+    for name, settings in chosen.items():
+        horizon, used = int(settings["target.horizon_days"]), settings["features"]
         feats = X.make_features(prices, horizon=horizon, features=used).dropna(subset=used)
         feats = feats.withColumns({f: F.lit(0.0) for f in every if f not in used})
         feats = feats.withColumns({
@@ -91,34 +83,29 @@ def scenario_features(prices: DataFrame, recipe: Recipe,
             "n_features": F.lit(len(used)),
             "used": F.array(*[F.lit(f in used) for f in every])})
         frames.append(E.with_params(
-            feats, min_train=int(cfg["validation"].get("min_train", 250)),
-            test_size=int(cfg["validation"].get("test_size", 21)), horizon=horizon,
-            alpha=float(cfg["estimator"].get("alpha", 1.0)),
-            model=cfg["estimator"].get("kind", "ridge")))
+            feats, min_train=int(settings["validation.min_train"]),
+            test_size=int(settings["validation.test_size"]), horizon=horizon,
+            alpha=float(settings["estimator.alpha"]), model=settings["estimator.kind"]))
     return union_frames(frames)
 
 
 def run_recipe(prices: DataFrame, recipe: Recipe, *, scenarios: Sequence[str] | None = None,
                keys: Sequence[str] = ("exchange", "symbol")) -> DataFrame:
     """Skill of every scenario on the same input, per symbol."""
-    feats = scenario_features(prices, recipe, scenarios)
-    cols = sorted({f for s in _chosen(recipe, scenarios) for f in recipe.resolve(s)["features"]})
+    chosen = recipe.chosen(scenarios)
+    cols = sorted({f for settings in chosen.values() for f in settings["features"]})
     by = [*keys, "scenario"]
-    folds = E.fold_table(E.walk_forward(feats, cols, keys=by), by)
-    settings = {s["name"]: recipe.resolve(s) for s in _chosen(recipe, scenarios)}
-    pick = {
-        "horizon_days": lambda c: int(c["target"].get("horizon_days", 1)),
-        "n_features": lambda c: len(c["features"]),
-        "alpha": lambda c: float(c["estimator"].get("alpha", 1.0)),
-        "min_train": lambda c: int(c["validation"].get("min_train", 250))}
-    out = E.summarise(folds, by).withColumn(
-        "run_id", F.concat_ws(":", F.lit(recipe.name), F.lit(recipe.version), *by))
-    for name, get in pick.items():
-        value = F.lit(None)
-        for scenario, cfg in settings.items():
-            value = F.when(F.col("scenario") == scenario, F.lit(get(cfg))).otherwise(value)
-        out = out.withColumn(name, value)
-    return out
+    folds = E.fold_table(E.walk_forward(scenario_features(prices, recipe, scenarios), cols,
+                                        keys=by), by)
+    table = {s: F.struct(F.lit(int(p["target.horizon_days"])).alias("horizon_days"),
+                         F.lit(len(p["features"])).alias("n_features"),
+                         F.lit(float(p["estimator.alpha"])).alias("alpha"),
+                         F.lit(int(p["validation.min_train"])).alias("min_train"))
+             for s, p in chosen.items()}
+    known = F.create_map(*(x for s, row in table.items() for x in (F.lit(s), row)))
+    return E.summarise(folds, by).withColumn(
+        "run_id", F.concat_ws(":", F.lit(recipe.name), F.lit(recipe.version), *by)).withColumn(
+        "_set", F.try_element_at(known, F.col("scenario"))).select("*", "_set.*").drop("_set")
 
 
 #: Columns of a comparison, best first (fixed values).
