@@ -4,7 +4,8 @@ A document is the set of its distinct word n-grams, as 64-bit hashes. Two sets w
 similarity reaches the threshold share a token among the first few of each, whatever global
 order the tokens stand in. So prefixes are taken under several orders, candidates are the
 pairs that share a prefix token under every one of them, and these are verified on the whole
-sets. In all orders the tokens that are frequent come last; the rest is shuffled differently
+sets. A place is kept with its rank in the order: tokens before the first common one belong
+to one of the two sets alone, and too many of them rule the pair out. In all orders the tokens that are frequent come last; the rest is shuffled differently
 in each. Which tokens count as frequent only changes the work, never the result.
 
 Documents with equal sets form a class, which is joined once. Classes that meet under a
@@ -44,13 +45,16 @@ ORDERS = 3
 #: out from what chance puts there. The table is of this size for any input.
 COUNTERS = 1 << 23
 SLICES = 16
+#: Ranks within a prefix are kept in so many steps.
+STEPS = 16
 #: Sets around one hub that are compared at once. A set is among them from half the similarity
 #: asked for; less similar ones differ from the hub in too much to be worth describing so.
 AROUND = 2048
 TRIED = "a bigint, b bigint, linked boolean, n_a int, n_b int, less int, differs array<bigint>"
 SETS = ("doc_id bigint, mark bigint, n_shingles bigint, set_a bigint, set_b bigint, "
         "slice int, counts binary")
-PREFIXES = "ord int, bucket int, tokens binary, places binary, doc_ids binary, sizes binary, token bigint, doc_id bigint"
+PREFIXES = ("ord int, bucket int, tokens binary, places binary, steps binary, doc_ids binary, "
+            "sizes binary, token bigint, doc_id bigint")
 MET = "ord int, token bigint, doc_id bigint"
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3],
@@ -187,61 +191,93 @@ def prefixes(batches: Iterator[pa.RecordBatch], n: int, percent: int, buckets: i
                 if crowded[k]:
                     picks.append(lo + np.lexsort((turned[lo:hi], level[lo:hi]))[:p])
                 else:
-                    picks.append(lo + np.argpartition(turned[lo:hi], p - 1)[:p])
+                    first = np.argpartition(turned[lo:hi], p - 1)[:p]
+                    picks.append(lo + first[np.argsort(turned[lo:hi][first])])
             pick = np.concatenate([np.zeros(0, np.int64), *picks]).astype(np.int64)
             owner = np.repeat(np.arange(len(mine)), [len(x) for x in picks]).astype(np.uint32)
+            step = np.concatenate([np.zeros(0, np.uint8), *(
+                (np.arange(len(x)) * STEPS // len(x)).astype(np.uint8) for x in picks)])
             plain = level[pick] > 0
             yield prefix_rows(o, tokens=every[pick[plain]], docs=doc_ids[owner[plain]])
-            token, owner = every[pick[~plain]], owner[~plain]
+            token, owner, step = every[pick[~plain]], owner[~plain], step[~plain]
             bucket = (token >> np.uint64(24)) % np.uint64(buckets)
             order = np.lexsort((token, bucket))
-            token, owner, bucket = token[order], owner[order], bucket[order]
+            token, owner, step, bucket = token[order], owner[order], step[order], bucket[order]
             cut = np.flatnonzero(np.diff(bucket)) + 1
             for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(bucket)]):
                 if hi > lo:
                     used, local = np.unique(owner[lo:hi], return_inverse=True)
                     yield prefix_rows(o, int(bucket[lo]), squeeze.compress(
                         np.diff(token[lo:hi], prepend=np.uint64(0)).tobytes()), squeeze.compress(
-                        local.astype("<u4").tobytes()), squeeze.compress(doc_ids[used].tobytes()),
+                        local.astype("<u4").tobytes()), squeeze.compress(step[lo:hi].tobytes()),
+                        squeeze.compress(doc_ids[used].tobytes()),
                         squeeze.compress(sizes[used].tobytes()))
 
 
 def prefix_rows(order: int, bucket: int | None = None, tokens=b"", places: bytes = b"",
-                doc_ids: bytes = b"", sizes: bytes = b"", docs: np.ndarray | None = None) -> pa.RecordBatch:
+                steps: bytes = b"", doc_ids: bytes = b"", sizes: bytes = b"",
+                docs: np.ndarray | None = None) -> pa.RecordBatch:
     n = 1 if docs is None else len(docs)
     blob = [None] * n if docs is not None else None
     return pa.RecordBatch.from_arrays(
         [pa.array([order] * n, pa.int32()), pa.array([bucket] * n, pa.int32()),
          pa.array(blob or [tokens] * n, pa.binary()), pa.array(blob or [places] * n, pa.binary()),
-         pa.array(blob or [doc_ids] * n, pa.binary()),
+         pa.array(blob or [steps] * n, pa.binary()), pa.array(blob or [doc_ids] * n, pa.binary()),
          pa.array(blob or [sizes] * n, pa.binary()),
          pa.nulls(1, pa.int64()) if docs is None else pa.array(tokens.view(np.int64)),
          pa.nulls(1, pa.int64()) if docs is None else pa.array(docs)],
-        names=["ord", "bucket", "tokens", "places", "doc_ids", "sizes", "token", "doc_id"])
+        names=["ord", "bucket", "tokens", "places", "steps", "doc_ids", "sizes", "token", "doc_id"])
 
 
 def meetings(percent: int, group: pa.Table) -> pa.Table:
-    """Tokens of a bucket that stand in the prefixes of two rows of like size or more."""
-    tokens, docs, sizes = [], [], []
+    """Tokens of a bucket that stand in the prefixes of two rows of like size or more.
+
+    If a token is the first common one of two linked sets of n and m tokens, at most
+    (n + m) * (1 - t) / (1 + t) tokens stand before it in both together, with t the
+    similarity asked for. So a row stays where its own excess over its share of that, plus
+    the least excess of another row, is not above zero.
+    """
+    tokens, docs, sizes, steps = [], [], [], []
     unzip = zstandard.ZstdDecompressor()
-    for t, p, d, n in zip(*(group.column(c).to_pylist()
-                            for c in ("tokens", "places", "doc_ids", "sizes"))):
+    for t, p, s, d, n in zip(*(group.column(c).to_pylist()
+                               for c in ("tokens", "places", "steps", "doc_ids", "sizes"))):
         place = np.frombuffer(unzip.decompress(p), "<u4")
         tokens.append(np.cumsum(np.frombuffer(unzip.decompress(t), np.uint64), dtype=np.uint64))
         docs.append(np.frombuffer(unzip.decompress(d), np.int64)[place])
         sizes.append(np.frombuffer(unzip.decompress(n), "<u4")[place].astype(np.int64))
-    token, doc, size = np.concatenate(tokens), np.concatenate(docs), np.concatenate(sizes)
+        steps.append(np.frombuffer(unzip.decompress(s), np.uint8))
+    token, doc, size, step = (np.concatenate(x) for x in (tokens, docs, sizes, steps))
     order = np.lexsort((size, token))
     token, doc, size = token[order], doc[order], size[order]
+    least_rank = step[order].astype(np.int64) * prefix_length(size, percent) // STEPS
+    excess = (100 + percent) * least_rank - (100 - percent) * size
     near = (token[1:] == token[:-1]) & (size[:-1] * 100 >= size[1:] * percent)
     shared = np.zeros(len(token), bool)
     shared[1:] |= near
     shared[:-1] |= near
+    shared &= excess + least_of_others(token, excess) <= 0
     n = int(shared.sum())
     return pa.table({"ord": pa.array(np.full(n, group.column("ord")[0].as_py(), np.int32)),
                      "token": pa.array(token[shared].view(np.int64)), "doc_id": doc[shared]})
 
 
+def least_of_others(token: np.ndarray, excess: np.ndarray) -> np.ndarray:
+    """For each row the least excess among the other rows of its token, which is sorted."""
+    none = np.int64(2**62)
+    start = np.ones(len(token), bool)
+    start[1:] = token[1:] != token[:-1]
+    run = np.cumsum(start) - 1
+    order = np.lexsort((excess, run))
+    first = order[start]
+    least = excess[first]
+    second = np.full(len(least), none)
+    several = np.flatnonzero(start)[np.diff(np.append(np.flatnonzero(start), len(token))) > 1]
+    second[run[several]] = excess[order[several + 1]]
+    out = least[run]
+    out[first] = second
+    return out
+
+
 def compared(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` at least half as similar as asked, and in what their sets differ."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
