@@ -313,7 +313,8 @@ def around_hub(percent: int, mine: pa.Table, others: pa.Table) -> pa.Table:
     """Links between sets of one hub: strays of ``mine`` against all of ``others``.
 
     With d the differences to the hub h, two sets x and y share |h| - less(x) - less(y) plus
-    the number of common differences.
+    the number of common differences. Of the links found, those are given that join parts not
+    joined before, so a block gives fewer links than it has sets.
     """
     out: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 2]
     stray = ~np.asarray(mine.column("linked").to_pylist(), dtype=bool)
@@ -325,6 +326,12 @@ def around_hub(percent: int, mine: pa.Table, others: pa.Table) -> pa.Table:
         token = lists.flatten().to_numpy()
         order = np.argsort(token, kind="stable")
         token, owner = token[order], owner[order]
+        mine_ids = mine.column("b").to_numpy()[stray]
+        nodes = np.unique(np.concatenate([ids, mine_ids]))
+        place = np.searchsorted(nodes, ids)
+        label = np.arange(len(nodes))
+        at_hub = place[np.asarray(others.column("linked").to_pylist(), dtype=bool)]
+        label[at_hub] = at_hub.min(initial=len(nodes))
         theirs = mine.select(["b", "n_b", "less", "differs"]).filter(pa.array(stray))
         for b, n_b, l_b, d in zip(*(theirs.column(c).to_pylist() for c in theirs.column_names)):
             lo, hi = np.searchsorted(token, d), np.searchsorted(token, d, side="right")
@@ -332,7 +339,12 @@ def around_hub(percent: int, mine: pa.Table, others: pa.Table) -> pa.Table:
             common = np.bincount(np.concatenate(hits), minlength=len(ids)) if hits else 0
             both = hub - l_b - less + common
             good = (100 * both >= percent * (n_b + n - both)) & (ids != b) & (both > 0)
-            out.append((np.minimum(ids[good], b), np.maximum(ids[good], b)))
+            own = label[np.searchsorted(nodes, b)]
+            parts, first = np.unique(label[place[good]], return_index=True)
+            new = parts != own
+            to = ids[good][first[new]]
+            label[np.isin(label, parts)] = own
+            out.append((np.minimum(to, b), np.maximum(to, b)))
     return pa.table({c: np.concatenate([o[k] for o in out]) for k, c in enumerate("ab")})
 
 
