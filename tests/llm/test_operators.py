@@ -103,6 +103,37 @@ def test_jaccard(docs, empty, rows, n, percent):
     assert not jaccard.near_duplicates(empty, n, percent).collect()
 
 
+@pytest.mark.parametrize("n,percent", [(3, 90), (2, 60), (5, 80)])
+def test_jaccard_gives_all_links(spark, monkeypatch, n, percent):
+    monkeypatch.setattr(jaccard, "AROUND", 8)
+    rng = random.Random(percent)
+    data = []
+    for base in range(3):
+        words = [f"b{base}w{i}" for i in range(120)]
+        for c in range(40):
+            copy = list(words)
+            for _ in range(rng.randint(0, 3)):
+                copy[rng.randrange(60)] = f"e{rng.randrange(4)}"
+            data.append((len(data), " ".join(copy[:rng.choice([120, 120, 105])])))
+    data += [(1000 + i, data[i][1].upper()) for i in (0, 1, 1, 50)] + [(None, data[0][1]), (2000, "")]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    sets = {}
+    for i, t in data:
+        w = t.lower().split()
+        sets[i] = frozenset(tuple(w[k:k + n]) for k in range(len(w) - n + 1))
+    known = sorted(i for i in sets if i is not None and sets[i])
+    links = [(i, j) for i in known for j in known if i < j
+             and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
+    want = {i: sum(i in link for link in links) for i in sets}
+    got = jaccard.near_duplicates(df, n, percent).collect()
+    assert len(got) == len(data) and max(want.values()) > 9
+    assert [(r["doc_id"], r["n_links"]) for r in got] == [(r["doc_id"], want[r["doc_id"]]
+                                                           if r["doc_id"] is not None else 0) for r in got]
+    first = {sets[i]: i for i in reversed(known)}
+    pairs = sorted((i, j) for i, j in links if first[sets[i]] == i and first[sets[j]] == j)
+    assert listed(jaccard.class_pairs(df, n, percent), "a", "b") == sorted(pairs, key=str)
+
+
 def test_language_held_out(spark, docs, empty):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     model = language.fit(table, sample=100)

@@ -12,9 +12,9 @@ Documents with equal sets form a class, which is joined once. Classes that meet
 token are first tried against one hub, the smallest of them of like size. What a set has
 less or more than its hub is kept: the overlap of two sets of one hub follows from these
 differences alone, so the sets around a hub are compared in blocks of bounded size. Pairs
-that have no hub in common and are not in one component yet go through the filters. So no
-group of near copies is spelled out in pairs, while every link that could change a
-component is looked at.
+that have no hub in common go through the filters. So every linked pair of classes is found
+and stands once in the links, while a block gives one list of partners a set: no group of
+near copies around a hub takes a row a pair.
 
 The passes over the texts keep their tokens packed per block and bucket: a bucket only
 returns the tokens that meet in several documents.
@@ -51,6 +51,7 @@ STEPS = 16
 #: asked for; less similar ones differ from the hub in too much to be worth describing so.
 AROUND = 2048
 TRIED = "a bigint, b bigint, linked boolean, n_a int, n_b int, less int, differs array<bigint>"
+LINKS = "class bigint, n_links bigint, partners array<bigint>, joins array<bigint>"
 SETS = ("doc_id bigint, mark bigint, n_shingles bigint, set_a bigint, set_b bigint, "
         "slice int, counts binary")
 PREFIXES = ("ord int, bucket int, tokens binary, places binary, steps binary, doc_ids binary, "
@@ -310,65 +311,106 @@ def compared(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
 
 
 def around_hub(percent: int, mine: pa.Table, others: pa.Table) -> pa.Table:
-    """Links between sets of one hub: strays of ``mine`` against all of ``others``.
+    """All links between sets of one hub: each of ``mine`` against each of ``others``.
 
     With d the differences to the hub h, two sets x and y share |h| - less(x) - less(y) plus
-    the number of common differences. Of the links found, those are given that join parts not
-    joined before, so a block gives fewer links than it has sets.
+    the number of common differences. A link stands once among the partners, in a block that
+    meets itself under the smaller set, and counts at both its ends. Of the partners, those
+    that join parts not joined before are given again in ``joins``.
     """
-    out: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 2]
-    stray = ~np.asarray(mine.column("linked").to_pylist(), dtype=bool)
-    if mine.num_rows and others.num_rows and stray.any():
+    rows: list[tuple[int, int, list[int], list[int]]] = []
+    if mine.num_rows and others.num_rows:
+        alone = mine.column("part")[0].as_py() == mine.column("other")[0].as_py()
         hub = int(others.column("n_a")[0].as_py())
-        ids, n, less = (others.column(c).to_numpy().astype(np.int64) for c in ("b", "n_b", "less"))
+        ids, n, less, members = (others.column(c).to_numpy().astype(np.int64)
+                                 for c in ("b", "n_b", "less", "members"))
         lists = others.column("differs").combine_chunks()
         owner = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
         token = lists.flatten().to_numpy()
         order = np.argsort(token, kind="stable")
         token, owner = token[order], owner[order]
-        mine_ids = mine.column("b").to_numpy()[stray]
-        nodes = np.unique(np.concatenate([ids, mine_ids]))
+        nodes = np.unique(np.concatenate([ids, mine.column("b").to_numpy()]))
         place = np.searchsorted(nodes, ids)
         label = np.arange(len(nodes))
-        at_hub = place[np.asarray(others.column("linked").to_pylist(), dtype=bool)]
-        label[at_hub] = at_hub.min(initial=len(nodes))
-        theirs = mine.select(["b", "n_b", "less", "differs"]).filter(pa.array(stray))
-        for b, n_b, l_b, d in zip(*(theirs.column(c).to_pylist() for c in theirs.column_names)):
+        for side in (mine, others):
+            at_hub = np.searchsorted(nodes, side.column("b").to_numpy()[
+                np.asarray(side.column("linked").to_pylist(), dtype=bool)])
+            label[at_hub] = -1
+        counts = np.zeros(len(ids), np.int64)
+        theirs = mine.select(["b", "n_b", "less", "differs", "members"])
+        for b, n_b, l_b, d, m_b in zip(*(theirs.column(c).to_pylist()
+                                         for c in theirs.column_names)):
             lo, hi = np.searchsorted(token, d), np.searchsorted(token, d, side="right")
             hits = [owner[i:j] for i, j in zip(lo.tolist(), hi.tolist()) if j > i]
             common = np.bincount(np.concatenate(hits), minlength=len(ids)) if hits else 0
             both = hub - l_b - less + common
             good = (100 * both >= percent * (n_b + n - both)) & (ids != b) & (both > 0)
+            if not good.any():
+                continue
+            links = int(members[good].sum())
+            counts[good] += m_b
+            if alone:
+                good &= ids > b
             own = label[np.searchsorted(nodes, b)]
             parts, first = np.unique(label[place[good]], return_index=True)
             new = parts != own
-            to = ids[good][first[new]]
-            label[np.isin(label, parts)] = own
-            out.append((np.minimum(to, b), np.maximum(to, b)))
-    return pa.table({c: np.concatenate([o[k] for o in out]) for k, c in enumerate("ab")})
+            joins = ids[good][first[new]]
+            if len(joins):
+                label[np.isin(label, parts)] = own
+            rows.append((b, links, ids[good].tolist(), joins.tolist()))
+        if not alone:
+            met = np.flatnonzero(counts)
+            rows += [(b, c, [], []) for b, c in zip(ids[met].tolist(), counts[met].tolist())]
+    kinds = {"class": pa.int64(), "n_links": pa.int64(), "partners": pa.list_(pa.int64()),
+             "joins": pa.list_(pa.int64())}
+    return pa.table({c: pa.array([r[k] for r in rows], t) for k, (c, t) in enumerate(kinds.items())})
 
 
 def hub_links(tried: DataFrame, percent: int) -> DataFrame:
     """Links among the sets around each hub, in blocks of about ``AROUND`` sets."""
-    sizes = tried.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / AROUND).cast("int").alias("parts"),
-                                   F.min(F.col("linked").cast("int")).alias("least"))
-    rows = tried.join(sizes.where("least = 0").drop("least"), "a").withColumn(
+    sizes = tried.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / AROUND).cast("int").alias("parts"))
+    rows = tried.join(sizes, "a").withColumn(
         "part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    mine = rows.withColumn("other", every)
+    mine = rows.withColumn("other", F.explode(F.sequence(F.col("part"), F.col("parts") - 1)))
     others = rows.select(*(F.col(c).alias("other" if c == "part" else c) for c in rows.columns)
-                         ).withColumn("part", every)
+                         ).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("other"))))
     keys = ["a", "part", "other"]
     return mine.groupBy(*keys).cogroup(others.groupBy(*keys)).applyInArrow(
-        lambda x, y: around_hub(percent, x, y), "a bigint, b bigint")
+        lambda x, y: around_hub(percent, x, y), LINKS)
+
+
+def pair_links(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` in the form of ``LINKS``."""
+    sized = pairs.join(members.toDF("a", "m_a"), "a").join(members.toDF("b", "m_b"), "b")
+    ids = "array<bigint>"
+    return sized.select(
+        F.col("a").alias("class"), F.col("m_b").alias("n_links"), F.array("b").alias("partners"),
+        F.array("b").alias("joins")).unionByName(sized.groupBy(F.col("b").alias("class")).agg(
+            F.sum("m_a").alias("n_links")).select(
+            "*", F.array().cast(ids).alias("partners"), F.array().cast(ids).alias("joins")))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text", buckets: int | None = None) -> DataFrame:
-    """``doc_id``, ``mark`` (a hash of the text), ``n_shingles`` and ``component_id`` of every row.
+    """``doc_id``, ``mark`` (a hash of the text), ``n_shingles``, ``component_id`` and ``n_links``.
 
-    ``percent`` is the least Jaccard similarity of linked documents, in percent.
+    ``n_links`` counts the other documents linked with a row's document, those of equal sets
+    included. ``percent`` is the least Jaccard similarity of linked documents, in percent.
     """
+    return joined(docs, n, percent, id_col, text_col, buckets)[0]
+
+
+def class_pairs(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
+                text_col: str = "text", buckets: int | None = None) -> DataFrame:
+    """All linked pairs ``a`` < ``b`` of classes; a class goes by its smallest id."""
+    links = joined(docs, n, percent, id_col, text_col, buckets)[1]
+    pairs = links.select("class", F.explode("partners").alias("to"))
+    return pairs.select(F.least("class", "to").alias("a"), F.greatest("class", "to").alias("b"))
+
+
+def joined(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str,
+           buckets: int | None) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``near_duplicates``, and the links of all classes in the form of ``LINKS``."""
     spark = docs.sparkSession
     if buckets is None:
         buckets = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
@@ -385,7 +427,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
         lambda group: meetings(percent, group), MET)
     met = met.unionByName(packed.where("bucket IS NULL").select("ord", "token", "doc_id"))
     classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(
-        "set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("class"))
+        "set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("class"),
+                                            F.countDistinct("doc_id").alias("members"))
+    classes = written(classes, "classes")
+    members = classes.select("class", "members")
     member = sets.where("doc_id IS NOT NULL").join(
         classes, ["set_a", "set_b", "n_shingles"]).select("doc_id", "class", "n_shingles").distinct()
     met = met.join(member, "doc_id").select("ord", "token", F.col("class").alias("doc_id"),
@@ -411,34 +456,35 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
         F.col("orders") == ORDERS).groupBy(F.col("doc_id").alias("b")).agg(F.min("hub").alias("a"))
     tried = written(compared(tried, docs, n, percent), "tried")
     star = tried.select(F.col("b").alias("doc_id"), F.col("a").alias("hub"))
-    links = written(tried.where("linked").select("a", "b").unionByName(
-        hub_links(tried, percent)).distinct(), "links")
-    merged = written(components(links), "merged")
-
-    apart = met.join(merged.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(
-        star, "doc_id", "left").select(
-        "ord", "token", "doc_id", "n", F.coalesce("label", "doc_id").alias("label"),
-        F.coalesce("hub", "doc_id").alias("hub"))
-    several = apart.groupBy("ord", "token").agg(
-        F.min("label").alias("x"), F.max("label").alias("y"), F.min("hub").alias("u"),
-        F.max("hub").alias("v")).where("x < y AND u < v").select("ord", "token")
+    around = hub_links(tried.join(members.withColumnRenamed("class", "b"), "b"), percent)
+
+    apart = met.join(star, "doc_id", "left").select(
+        "ord", "token", "doc_id", "n", F.coalesce("hub", "doc_id").alias("hub"))
+    several = apart.groupBy("ord", "token").agg(F.min("hub").alias("u"), F.max("hub").alias("v")
+                                                ).where("u < v").select("ord", "token")
     apart = apart.join(several, ["ord", "token"])
     a, b = apart.alias("a"), apart.alias("b")
     near = (F.col("a.n") * 100 >= F.col("b.n") * percent) & (
         F.col("b.n") * 100 >= F.col("a.n") * percent)
+    new = (F.col("a.hub") != F.col("b.hub")) & (F.col("a.doc_id") != F.col("b.hub")) & (
+        F.col("b.doc_id") != F.col("a.hub"))
     pairs = a.join(b, (F.col("a.ord") == F.col("b.ord")) & (F.col("a.token") == F.col("b.token"))
-                   & (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.hub") != F.col("b.hub"))
-                   & (F.col("a.label") != F.col("b.label")) & near)
+                   & (F.col("a.doc_id") < F.col("b.doc_id")) & new & near)
     pairs = pairs.groupBy(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).agg(
         F.countDistinct("a.ord").alias("orders")).where(F.col("orders") == ORDERS).select("a", "b")
-    rest = written(compared(pairs, docs, n, percent).where("linked").select("a", "b"), "rest")
-    labels = components(links.unionByName(rest))
+    rest = compared(pairs, docs, n, percent).where("linked").select("a", "b")
+    links = written(pair_links(written(tried.where("linked").select("a", "b").unionByName(rest),
+                                       "linked"), members).unionByName(around), "links")
+    labels = components(links.select(F.col("class").alias("a"), F.explode("joins").alias("b")))
+    counts = links.groupBy("class").agg(F.sum("n_links").alias("n_links"))
 
     same = sets.join(classes, ["set_a", "set_b", "n_shingles"], "left").join(
-        labels.withColumnRenamed("node", "class"), "class", "left")
+        labels.withColumnRenamed("node", "class"), "class", "left").join(counts, "class", "left")
+    n_links = F.coalesce("n_links", F.lit(0)) + F.col("members") - 1
     return same.select("doc_id", "mark", "n_shingles", F.coalesce(
         "label", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")))
-        .alias("component_id"))
+        .alias("component_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce(
+            n_links, F.lit(0))).otherwise(0).alias("n_links")), links
 
 
 JACCARD_SQL = r"""

@@ -28,6 +28,11 @@ def op2(spark, sf_dir):
         "doc_id", "n_shingles", "component_id")
 
 
+@query("jaccard_links")
+def links(spark, sf_dir):
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=90).drop("mark")
+
+
 @query("op3_language_id")
 def op3(spark, sf_dir):
     return language.document_languages(table(spark, sf_dir, "documents")).drop("mark")
