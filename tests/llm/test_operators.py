@@ -147,6 +147,20 @@ def test_language_held_out(spark, docs, empty):
     assert not language.document_languages(empty, model).collect()
 
 
+def test_every_labelled_language_has_a_model(spark):
+    rng = random.Random(5)
+    common = [f"{a}{b}ing" for a in "bdfgk" for b in "aeiou"]
+    greek = ["και", "το", "νερό", "θάλασσα", "ουρανός", "δρόμος"]
+    data = [(i, " ".join(rng.choice(common) for _ in range(40)), "s", "en") for i in range(600)]
+    data += [(i, " ".join(rng.choice(greek) for _ in range(40)), "s", "el") for i in (1000, 1001)]
+    data += [(2000, "ab", "s", "xx")]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string, lang string")
+    model = language.fit(df, sample=20)
+    assert model.languages == ("el", "en")
+    got = {r["doc_id"]: r for r in language.document_languages(df, model).collect()}
+    assert all(got[i]["kept"] and got[i]["lang"] == "el" for i in (1000, 1001))
+
+
 def test_exact_dedup(docs, empty, rows):
     groups = {}
     for i, t, _, _ in rows:

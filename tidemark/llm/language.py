@@ -10,8 +10,10 @@ The posterior of a language is the product of
     count towards its prior.
 A further model, in which all trigrams are alike, stands for no language at all.
 
-The trigram model is fitted on ``SAMPLE`` labelled rows at most, chosen by a hash of their
-id; everything else covers all rows.
+The languages are those of all labelled rows, by a grouped count over the whole table. The
+trigram model of each is fitted on about ``SAMPLE`` of its distinct rows, chosen by a hash of
+id and text, or on all of them if they are no more; everything else covers all rows. A label
+whose texts all have less than three bytes gives no trigrams and no model.
 
 Rows: a null or empty text, one of less than three bytes or one without a letter has no
 language: ``und``, not kept. A null declared language, address or host is no evidence; rows
@@ -31,6 +33,8 @@ from tidemark.llm.words import LOWER, chunks, text_bytes
 from tidemark.session import written
 
 SAMPLE = 2_000
+#: Steps of the hash by which rows are sampled.
+PLACES = 1 << 30
 BINS = 1 << 14
 EVIDENCE = 40.0
 DECLARED_TRUST = 0.9
@@ -76,12 +80,17 @@ def trigrams(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id",
         sample: int = SAMPLE) -> TextModel:
-    """Trigram counts of a bounded labelled sample, smoothed."""
-    labelled = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    key = F.xxhash64(F.col(id_col).cast("string"), F.lit("language"))
-    chosen = labelled.select(key.alias("key")).distinct().orderBy("key").limit(sample)
-    rows = labelled.withColumn("key", key).join(F.broadcast(chosen), "key", "left_semi").select(
-        F.col(label_col).cast("string"), F.col(text_col).cast("string"))
+    """Trigram counts of a bounded sample of each labelled language, smoothed."""
+    text, label = F.col(text_col).cast("string"), F.col(label_col).cast("string")
+    key = F.xxhash64(F.col(id_col).cast("string"), text, F.lit("language"))
+    labelled = docs.where(label.isNotNull() & (F.octet_length(text) > 2)).select(
+        label.alias("label"), text.alias("text"), key.alias("key"))
+    sizes = labelled.select("label", "key").distinct().groupBy("label").agg(
+        F.count(F.lit(1)).alias("size"))
+    place = F.pmod("key", F.lit(PLACES)) * F.col("size")
+    rows = labelled.join(written(sizes, "labels"), "label").where(
+        (F.col("size") <= sample) | (place < F.lit(sample * PLACES))).dropDuplicates(
+        ["label", "key"]).select("label", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -101,8 +110,7 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col
         "lang", "bin").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(counts["lang"].unique()))
     table = np.full((len(languages), BINS), 0.5)
-    for k, lang in enumerate(languages):
-        mine = counts[counts["lang"] == lang]
+    for k, (_, mine) in enumerate(counts.groupby("lang", sort=True)):
         table[k, mine["bin"]] += mine["n"]
     return TextModel(languages, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32))
 
