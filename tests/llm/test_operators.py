@@ -161,6 +161,15 @@ def test_every_labelled_language_has_a_model(spark):
     assert all(got[i]["kept"] and got[i]["lang"] == "el" for i in (1000, 1001))
 
 
+def test_markup_declares_behind_long_attributes(spark):
+    model = language.TextModel(("de", "en"), np.full((2, language.BINS), -9.7, np.float32))
+    tag = f'<Html prefix="{"og: http://ogp.me/ns# " * 20}" lang="de"> text'
+    docs = spark.createDataFrame([(1, tag, "s", "en")], "doc_id long, text string, source string, lang string")
+    assert language.document_languages(docs, model).first()["declared"] == "de"
+    pages = docs.selectExpr("doc_id AS page_id", "'http://a.com/' AS url", "text AS html")
+    assert language.page_languages(pages, model).first()["declared"] == "de"
+
+
 def test_exact_dedup(docs, empty, rows):
     groups = {}
     for i, t, _, _ in rows:

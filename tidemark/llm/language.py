@@ -237,10 +237,10 @@ def document_languages(docs: DataFrame, model: TextModel | None = None) -> DataF
     """
     model = model or fit(docs)
     markup = F.nullif(F.regexp_extract(
-        "text", r"(?i)<html[^>]{0,200}\slang=[\"']?([a-z]{2})", 1), F.lit(""))
+        "text", r"(?i)<html[^>]*\slang=[\"']?([a-z]{2})", 1), F.lit(""))
     suffix = F.nullif(F.regexp_extract(
         "text", r"https?://[\w.-]{1,200}\.([a-z]{2,6})(?![\w.-])", 1), F.lit(""))
-    has = F.contains("text", F.lit("<html")) | F.contains("text", F.lit("<HTML"))
+    has = F.contains(F.lower("text"), F.lit("<html"))
     return identify(
         docs, model, F.col("text"), [F.col("doc_id").cast("bigint").alias("doc_id"),
                                      F.xxhash64("text").alias("mark")],
@@ -254,7 +254,7 @@ def page_languages(pages: DataFrame, model: TextModel) -> DataFrame:
     plain = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ")
     return identify(
         pages, model, plain, [F.col("page_id").cast("bigint").alias("page_id"), F.col("url")],
-        F.nullif(F.regexp_extract("html", r"(?i)<html[^>]{0,200}\slang=[\"']?([a-z]{2})", 1),
+        F.nullif(F.regexp_extract("html", r"(?i)<html[^>]*\slang=[\"']?([a-z]{2})", 1),
                  F.lit("")),
         F.regexp_extract(host, r"\.([a-z]+)$", 1),
         [F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1), host])
