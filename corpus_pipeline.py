@@ -1,7 +1,8 @@
 """From raw documents to token ids: five stages, each written as Parquet and read again.
 
-A row is named by its id and a hash of its text, so ids that are repeated or null cannot
-mix rows up. Of rows with the same id and text the exact deduplication leaves one. All
+A row is named by its id and a hash of its text, in the near deduplication by a number, so
+ids that are repeated or null cannot mix rows up. Of rows with the same id and text the
+exact deduplication leaves one. All
 stages but the last return the columns of documents; extra columns are carried along.
 """
 from __future__ import annotations
@@ -43,10 +44,19 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, on five words and a similarity of 0.8."""
-    found = jaccard.near_duplicates(docs, n=5, percent=80).where(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "mark")
-    return chosen(docs, found).select(*docs.columns)
+    """One document of each group of near copies, on five words and a similarity of 0.8.
+
+    Every row is a node of its own by a written number. Of a group the row of the smallest id
+    stays, one without id only if no row of the group has any.
+    """
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = jaccard.near_duplicates(rows, n=5, percent=80, id_col="__row").select(
+        F.col("doc_id").alias("__row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").cast("bigint"),
+                     F.xxhash64(F.col("text").cast("string")).alias("mark"), "__row")
+    first = rows.select("__row", order.alias("order")).join(found, "__row").groupBy(
+        "component_id").agg(F.min("order").alias("order")).select("order.__row")
+    return rows.join(first, "__row", "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -315,3 +315,38 @@ def test_pipeline(spark):
     assert left.selectExpr("lower(text)").distinct().count() == left.count() > 100
     assert corpus_pipeline.run(spark, SF).columns == [
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_pipeline_keeps_rows_of_repeated_and_null_ids_apart(spark):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice(["red", "sun", "tree", "wind", "sea"]) + str(rng.randrange(40))
+                      for _ in range(60)) for _ in range(5)]
+    near = [t + " end" for t in texts]
+    data = [(5, texts[0]), (5, texts[1]), (3, near[0]), (None, texts[2]), (None, near[2]), (7, near[3]),
+            (None, texts[3]), (None, texts[4]), (9, texts[4].upper()), (9, texts[4].upper()), (5, texts[0])]
+    docs = spark.createDataFrame([(i, t, "s", "en") for i, t in data],
+                                 "doc_id long, text string, source string, lang string").repartition(3)
+
+    def rows(df):
+        return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+
+    def least(group):
+        return min(group, key=lambda r: (r[0] is None, r[0] or 0))
+    assert rows(corpus_pipeline.identify_language(spark, docs, SF)) == sorted(data, key=str)
+    exact = corpus_pipeline.written(corpus_pipeline.drop_exact_copies(spark, docs, SF), "exact")
+    one = {t.lower(): max((r for r in data if r[1].lower() == t.lower()),
+                          key=lambda r: -1 if r[0] is None else r[0]) for _, t in data}
+    assert rows(exact) == sorted(one.values(), key=str)
+    groups = {}
+    for r in one.values():
+        groups.setdefault(r[1].lower().removesuffix(" end"), []).append(r)
+    left = corpus_pipeline.written(corpus_pipeline.drop_near_copies(spark, exact, SF), "near")
+    got = rows(left)
+    assert len(got) == len(groups) == 5
+    assert all(r[0] == least(groups[r[1].lower().removesuffix(" end")])[0] for r in got)
+    assert {r[1].lower().removesuffix(" end") for r in got} == set(groups)
+    null_copy = jaccard.near_duplicates(docs.where("doc_id = 9").union(
+        docs.where("doc_id = 9").selectExpr("null", "text", "source", "lang")))
+    assert {(r["doc_id"], r["component_id"]) for r in null_copy.collect()} == {(9, 9), (None, None)}

@@ -21,7 +21,8 @@ returns the tokens that meet in several documents.
 
 Rows: a null or empty text has no n-grams and is linked with nothing. A text with fewer
 words than n is one n-gram of all its words. Repeated rows are one class. A row without id
-is a component of its own, without id, and takes no part in links. An empty table gives an
+is a component of its own, without id, and takes no part in links. An id names one text:
+rows of different texts need different ids, or keys in their place. An empty table gives an
 empty result; other columns are ignored.
 """
 from __future__ import annotations
@@ -481,10 +482,11 @@ def joined(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str,
     same = sets.join(classes, ["set_a", "set_b", "n_shingles"], "left").join(
         labels.withColumnRenamed("node", "class"), "class", "left").join(counts, "class", "left")
     n_links = F.coalesce("n_links", F.lit(0)) + F.col("members") - 1
-    return same.select("doc_id", "mark", "n_shingles", F.coalesce(
-        "label", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")))
-        .alias("component_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce(
-            n_links, F.lit(0))).otherwise(0).alias("n_links")), links
+    named = F.col("doc_id").isNotNull()
+    return same.select(
+        "doc_id", "mark", "n_shingles",
+        F.when(named, F.coalesce("label", "class", "doc_id")).alias("component_id"),
+        F.when(named, F.coalesce(n_links, F.lit(0))).otherwise(0).alias("n_links")), links
 
 
 JACCARD_SQL = r"""
