@@ -298,6 +298,20 @@ def test_top_k(spark):
     assert not vectors.top_k(df.limit(0)).collect()
 
 
+def test_top_k_of_repeated_ids(spark):
+    rng = np.random.default_rng(4)
+    data = [(i % 60, [float(x) for x in rng.integers(-4, 5, 12)]) for i in range(180)]
+    want = []
+    for q in (0, 50):
+        own, v = min(((r, v) for r, (i, v) in enumerate(data) if i == q), key=lambda x: x[1])
+        best = sorted((-256 * 256 * sum(a * b for a, b in zip(v, w)), i)
+                      for r, (i, w) in enumerate(data) if r != own)[:5]
+        want += [(q, k + 1, i, int(-s)) for k, (s, i) in enumerate(best)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>").repartition(3)
+    assert listed(vectors.top_k(df, rows_at_once=32), "query_id", "rank", "vec_id", "score") == sorted(
+        want, key=str)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, name):
     assert compare(connect(SF), QUERIES[name](spark, SF), ORACLES[name]) == ""

@@ -9,8 +9,8 @@ these are ranked per query.
 
 Rows: a vector that is null, empty or holds a null or a non-finite component takes no part,
 as query or candidate; so does a row without id. Vectors meet only vectors of their own
-length. Rows of one id are one query, and none of them is a candidate for it; other repeated
-rows are candidates each. An empty table gives an empty result; other columns are ignored.
+length. Rows of one id are one query, that of the least vector, the shorter first; only this
+row is no candidate for it, all other repeated rows are candidates each. An empty table gives an empty result; other columns are ignored.
 Components up to about 2**40 are exact.
 """
 from __future__ import annotations
@@ -19,21 +19,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidemark.session import written
+
 ROWS_AT_ONCE = 4096
 DIMS_AT_ONCE = 8
 SCALE = 256
 FOUND = "query_id bigint, vec_id bigint, score bigint"
 
 
-def best_of_block(ids: np.ndarray, columns: np.ndarray, query_id: int, query: np.ndarray, k: int,
-                  rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def best_of_block(ids: np.ndarray, numbers: np.ndarray, columns: np.ndarray, own: int,
+                  query: np.ndarray, k: int, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids and scores of the k best rows of a block for one query.
 
-    ``columns`` is (dimension, row); ``rest[j]`` holds each row's length from the j-th block of
+    ``own`` is the number of the query's row. ``columns`` is (dimension, row); ``rest[j]`` holds each row's length from the j-th block of
     dimensions on.
     """
     dims = len(query)
-    keep = np.flatnonzero(ids != query_id)
+    keep = np.flatnonzero(numbers != own)
     score = np.zeros(len(keep))
     for j, lo in enumerate(range(0, dims, DIMS_AT_ONCE)):
         hi = min(lo + DIMS_AT_ONCE, dims)
@@ -57,8 +59,9 @@ def search_block(k: int, queries: pa.Table, rows: pa.Table) -> pa.Table:
     columns = matrix(rows)
     parts = [np.sqrt((columns[lo:] ** 2).sum(axis=0)) for lo in range(0, len(columns), DIMS_AT_ONCE)]
     asked, wanted = queries.column("query_id").to_numpy(), matrix(queries)
+    numbers, own = rows.column("row").to_numpy(), queries.column("row").to_numpy()
     found = [(np.full(len(i), q), i, s) for c, q in enumerate(asked)
-             for i, s in [best_of_block(ids, columns, q, wanted[:, c], k, parts)]]
+             for i, s in [best_of_block(ids, numbers, columns, own[c], wanted[:, c], k, parts)]]
     return pa.table({n: np.concatenate([f[c] for f in found]).astype(np.int64)
                      for c, n in enumerate(("query_id", "vec_id", "score"))})
 
@@ -80,17 +83,20 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     x = F.transform(F.col(vector_col), lambda c: F.floor(c.cast("double") * SCALE).cast("double"))
     sound = F.forall(F.col(vector_col), lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (
         F.abs(c.cast("double")) < float("inf")))
-    base = vectors.where(F.col(id_col).isNotNull() & F.coalesce(sound, F.lit(False)) & (
+    numbered = written(vectors.select(id_col, vector_col).withColumn(
+        "row", F.monotonically_increasing_id()), "vectors")
+    base = numbered.where(F.col(id_col).isNotNull() & F.coalesce(sound, F.lit(False)) & (
         F.size(vector_col) > 0)).select(F.col(id_col).cast("bigint").alias("vec_id"), x.alias("v"),
-                                        F.size(vector_col).alias("dims"))
-    n = max(1, vectors.count())
+                                        F.size(vector_col).alias("dims"), "row")
+    n = max(1, numbered.count())
     blocks = -(-n // rows_at_once)
     groups = -(-n // (every * rows_at_once))
-    rows = base.withColumn("block", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()),
-                                           F.lit(blocks)).cast("int")).withColumn(
+    rows = base.withColumn("block", F.pmod(F.xxhash64("vec_id", "row"), F.lit(blocks)).cast("int")).withColumn(
         "ask", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    asked = base.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]).select(
-        F.col("vec_id").alias("query_id"), "v", "dims",
+    first = base.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(
+        F.min(F.struct("dims", "v", "row")).alias("q")).select("vec_id", "q.*")
+    asked = first.select(
+        F.col("vec_id").alias("query_id"), "v", "dims", "row",
         F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("ask"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     keys = ["dims", "block", "ask"]
