@@ -168,3 +168,11 @@ def test_trade_range_filter_reaches_the_scan(spark, tmp_path):
                    "2026-01-05 11:00:00")
     plan = bars._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
+
+
+@pytest.mark.parametrize("prune", [False, True])
+def test_null_keys_match_nothing_in_any_plan(spark, prune):
+    t = trades(spark, [(1, 10)]).union(trades(spark, [(2, 20)], None))
+    q = asks(spark, [5]).union(asks(spark, [6], None))
+    for few in (None, False):
+        assert answers(A.asof_join(q, t, few_decisions=few, prune_keys=prune)) == {5: 10.0, 6: None}

@@ -62,6 +62,7 @@ def asof_join(decisions: DataFrame, trades: DataFrame, *, keys: Sequence[str] =
               few_decisions: bool | None = None) -> DataFrame:
     """Left as-of join; one output row per distinct decision.
 
+    A key with a null matches nothing, as in a join; such decisions stay, unmatched.
     ``strict`` matches strictly before instead of at-or-before. ``until`` is an upper
     bound of the decision times when the caller knows one; it reaches the scan. There
     is no lower bound: an old match must be found so that its age can be reported.
@@ -71,6 +72,8 @@ def asof_join(decisions: DataFrame, trades: DataFrame, *, keys: Sequence[str] =
     """
     keys = list(keys)
     prints = trades.where(F.col(trade_time).isNotNull())
+    for key in keys:
+        prints = prints.where(F.col(key).isNotNull())
     if until is not None:
         prints = prints.where(F.col(trade_time) <= instant(until))
     if prune_keys:
