@@ -39,7 +39,11 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one only in local mode."""
+    """The folder the cluster names for checkpoints; a temporary one only in local mode.
+
+    The setting itself cannot be changed while a session runs, so the temporary folder is
+    given to the context, which keeps it for later calls.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
@@ -47,8 +51,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.split("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        root = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return root.rstrip("/")
 
 
@@ -58,11 +62,28 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Cut lineage through a table in the shared folder, readable by every executor."""
+    """Cut lineage through a table in the shared folder, readable by every executor.
+
+    :func:`discard` takes the table away once what was made from it is written itself.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written`; nothing that is still to run may read them."""
+    for table in tables:
+        remove(table.sparkSession, table.scratch_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path of any file system that Spark can reach."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def versions_in_order(df: DataFrame, column: str) -> Column:
