@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, counting, cuckoo, jaccard, language, licenses, mixing, repeats, sharding, vectors
+from tidemark.llm import bpe, counting, cuckoo, jaccard, language, licenses, mixing, repeats, sharding, vectors, whitening
 from tidemark.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -88,3 +88,8 @@ def op9(spark, sf_dir):
 @query("op10_top_k", vectors.TOP_K_SQL)
 def op10(spark, sf_dir):
     return vectors.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_whitening")
+def op11(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
