@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, counting, cuckoo, jaccard, language, licenses, mixing, packing, repeats, sharding, vectors, whitening
+from tidemark.llm import bpe, counting, cuckoo, jaccard, language, licenses, mixing, packing, repeats, sharding, trie, vectors, whitening
 from tidemark.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -95,6 +95,11 @@ def op11(spark, sf_dir):
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+@query("op12_prefix_trie", trie.TRIE_SQL)
+def op12(spark, sf_dir):
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query("op13_packing")
 def op13(spark, sf_dir):
     cut = packing.pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"),
