@@ -117,3 +117,23 @@ def test_whole_table(spark, library):
     rows = QUERIES["op13_packing"](spark, SF).collect()
     used = check_packing(rows, docs, library, 4096)
     assert used <= completion.least_bins(Counter(r["length"] for r in rows), 4096) + 1
+
+
+def test_known_words_over_blocks(spark, library, monkeypatch):
+    rng = random.Random(5)
+    letters = "abcXYZéßñİ9.,'-!?日"
+    made = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 7))) for _ in range(400)]
+    docs = [(i, " ".join(rng.choice(made) for _ in range(rng.randint(0, 60)))) for i in range(150)]
+    monkeypatch.setattr(packing, "KNOWN", 150)
+    monkeypatch.setattr(packing, "BLOCK", 2000)
+    import pyarrow as pa
+
+    with open(vocabulary("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    packing.known_words.cache_clear()
+    batch = pa.RecordBatch.from_arrays([pa.array([d[0] for d in docs]), pa.array([d[1] for d in docs])],
+                                       names=["doc_id", "text"])
+    for _ in range(2):
+        got = [(i, ids.tolist()) for i, ids in packing.document_ids(spec, iter([batch]), 1)]
+        assert got == [(i, library.encode(t, add_special_tokens=False).ids + [1]) for i, t in docs]
+    packing.known_words.cache_clear()

@@ -1,7 +1,7 @@
 """Packing of tokenized documents into sequences of fixed length.
 
-A task encodes the distinct words of each block of texts once and cuts the ids of every
-document into pieces. The pieces are written with their place among the pieces of equal length
+A Python worker encodes every distinct word it meets once and cuts the ids of every document
+into pieces. The pieces are written with their place among the pieces of equal length
 in their task. How many pieces there are of each length, at most ``capacity`` numbers, is all
 that the packing itself needs: :mod:`tidemark.llm.completion` turns the counts into runs of
 equal fillings. The rank of a piece among all of its length, its place plus the counts of
@@ -11,24 +11,29 @@ join with those counts.
 Rows: a null or empty text has no ids and makes one piece of the end mark alone. Repeated rows
 and rows without id are packed each. A text of more tokens than a sequence holds is cut into
 full pieces and a last one. An empty table gives an empty result; other columns are ignored.
-Words of one block count as one if their 64-bit hashes are equal. A text may not be longer
+Words that a worker meets count as one if their 64-bit hashes are equal. A text may not be longer
 than an Arrow batch can hold (2 GiB).
 """
 from __future__ import annotations
 
+import json
+import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.taskcontext import TaskContext
 
 from tidemark.llm.blocks import blocks
-from tidemark.llm.bpe import ENCODE_AT_ONCE, WORDS_AT_ONCE, Numbered, gather, tokenizer
+from tidemark.llm.bpe import ENCODE_AT_ONCE, WORDS_AT_ONCE, gather, tokenizer
 from tidemark.llm.completion import STEPS, Run, pack
-from tidemark.llm.words import chunks
+from tidemark.llm.words import WORD_VALUE, chunks, segment_hashes, words
 from tidemark.session import written
 
 CAPACITY = 4096
@@ -37,38 +42,120 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 PIECE_FIELDS = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                 ("length", pa.int64()), ("ids_crc32", pa.int64())]
 BLOCK = 8 << 20
+KNOWN = 1 << 20
 
 
-def encoded(spec: str, n: Numbered) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the distinct words of a block one after the other, and where each word begins."""
-    encode = getattr(tokenizer(spec), "encode_batch_fast", tokenizer(spec).encode_batch)
-    raw = n.body.tobytes()
-    found, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-    for i in range(0, len(n.starts), ENCODE_AT_ONCE):
-        some = [raw[s:e].decode() for s, e in zip(n.starts[i:i + ENCODE_AT_ONCE].tolist(),
-                                                  n.ends[i:i + ENCODE_AT_ONCE].tolist())]
-        ids = [e.ids for e in encode(some, add_special_tokens=False)]
-        lengths.append(np.array([len(x) for x in ids], np.int64))
-        found.append(np.array([x for one in ids for x in one], np.uint32))
-    return np.concatenate(found), np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
+@lru_cache(maxsize=2)
+def word_ends(spec: str) -> np.ndarray | None:
+    """True for the ids that close a word; None if the vocabulary has no such ids."""
+    model = json.loads(spec)["model"]
+    suffix = model.get("end_of_word_suffix")
+    if not suffix:
+        return None
+    flags = np.zeros(max(model["vocab"].values()) + 1, bool)
+    flags[[i for piece, i in model["vocab"].items() if piece.endswith(suffix)]] = True
+    return flags
+
+
+#: Words that the vocabulary's pattern cuts into one piece, or into two at a closing mark.
+PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+([.,;:!?]?)")
+
+
+def encoded(spec: str, words: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """The words in another order, their ids one after the other, and how many each has.
+
+    Plain words are encoded as one text, which is twice as fast: a piece ends with an id that
+    closes a word. If the pieces are not as many as there must be, as for any other word, each
+    word is encoded by itself.
+    """
+    encode, ends = getattr(tokenizer(spec), "encode_batch_fast", tokenizer(spec).encode_batch), word_ends(spec)
+    matched = [PLAIN.fullmatch(w) for w in words] if ends is not None else [None] * len(words)
+    plain = [k for k, m in enumerate(matched) if m]
+    rest = [k for k, m in enumerate(matched) if not m]
+    flat, size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    if plain:
+        ids = np.array(encode([" ".join([words[k] for k in plain])], add_special_tokens=False)[0].ids, np.uint32)
+        cuts = np.flatnonzero(ends[ids]) + 1
+        pieces_ = np.cumsum([1 + bool(matched[k][1]) for k in plain])
+        if len(cuts) == pieces_[-1] and cuts[-1] == len(ids):
+            flat, size = ids, np.diff(cuts[pieces_ - 1], prepend=0)
+        else:
+            plain, rest = [], list(range(len(words)))
+    one_by_one = [e.ids for e in encode([words[k] for k in rest], add_special_tokens=False)]
+    return (plain + rest, np.concatenate([flat, np.fromiter(chain.from_iterable(one_by_one), np.uint32)]),
+            np.concatenate([size, np.array([len(x) for x in one_by_one], np.int64)]))
+
+
+class KnownWords:
+    """Ids of the words that a Python worker has met, by hash, across its tasks.
+
+    Past ``KNOWN`` words it starts again with those of the block at hand.
+    """
+
+    def __init__(self, spec: str):
+        self.spec = spec
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
+        return at, (self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool))
+
+    def look_up(self, hashes: np.ndarray, word: Callable[[int], str]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each word start in ``flat``, and how many there are."""
+        at, known = self.find(hashes)
+        if not known.all():
+            if len(self.hashes) + np.count_nonzero(~known) > KNOWN:
+                self.clear()
+                known[:] = False
+            self.learn(hashes, np.flatnonzero(~known).tolist(), word)
+            at, _ = self.find(hashes)
+        return self.start[at], self.size[at]
+
+    def learn(self, hashes: np.ndarray, new: list[int], word: Callable[[int], str]) -> None:
+        flats, sizes, named = [self.flat], [], []
+        for i in range(0, len(new), ENCODE_AT_ONCE):
+            some = new[i:i + ENCODE_AT_ONCE]
+            order, flat, size = encoded(self.spec, [word(k) for k in some])
+            named += [some[k] for k in order]
+            flats.append(flat)
+            sizes.append(size)
+        size = np.concatenate(sizes)
+        start = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.concatenate(flats)
+        every = np.concatenate([self.hashes, hashes[named]])
+        order = np.argsort(every, kind="stable")
+        self.hashes = every[order]
+        self.start = np.concatenate([self.start, start])[order]
+        self.size = np.concatenate([self.size, size])[order]
+
+
+known_words = lru_cache(maxsize=2)(KnownWords)
 
 
 def document_ids(spec: str, batches: Iterator[pa.RecordBatch], end_id: int
                  ) -> Iterator[tuple[int | None, np.ndarray]]:
     """Id and token ids, end mark included, of every row."""
     end = np.array([end_id], "<u4")
+    known = known_words(spec)
     for doc_ids, body, offsets in blocks(batches, BLOCK):
-        n = Numbered(body, offsets, 1)
-        flat, at = encoded(spec, n)
-        size = np.diff(at)
-        bounds = np.concatenate([[0], np.cumsum(n.n_words.astype(np.int64))])
-        names = doc_ids.to_pylist()
-        for i, j in chunks(bounds, WORDS_AT_ONCE):
-            mine = n.numbers[bounds[i]:bounds[j]]
-            out = gather(flat, at[mine], size[mine]).astype("<u4")
-            ends = np.concatenate([[0], np.cumsum(size[mine])])[bounds[i:j + 1] - bounds[i]].tolist()
+        names, raw = doc_ids.to_pylist(), body.tobytes()
+        for i, j in chunks(offsets):
+            shift = int(offsets[i])
+            part = body[shift:offsets[j]]
+            starts, ends, bounds = words(part, offsets[i:j + 1] - shift)
+            codes, distinct = pd.factorize(segment_hashes(part, starts, WORD_VALUE))
+            first = np.empty(len(distinct), np.int64)
+            first[codes[::-1]] = np.arange(len(codes))[::-1]
+            low, high = (starts[first] + shift).tolist(), (ends[first] + shift).tolist()
+            at, size = known.look_up(distinct, lambda k: raw[low[k]:high[k]].decode())
+            out = gather(known.flat, at[codes], size[codes]).astype("<u4")
+            last = np.concatenate([[0], np.cumsum(size[codes])])[bounds].tolist()
             for row in range(i, j):
-                yield names[row], np.concatenate([out[ends[row - i]:ends[row - i + 1]], end])
+                yield names[row], np.concatenate([out[last[row - i]:last[row - i + 1]], end])
 
 
 def piece_rows(spec: str, capacity: int, end_id: int, with_ids: bool):
