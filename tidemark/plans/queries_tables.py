@@ -11,7 +11,7 @@ from tidemark.plans import runs
 from tidemark.plans.queries_gate import RAW, TRADES
 from tidemark.plans.registry import query
 from tidemark.session import scratch_dir
-from tidemark.sources import landing, tables
+from tidemark.sources import landing, snapshots, tables
 from tidemark.sources import samples as S
 from tidemark.streaming import intake as I
 
@@ -52,18 +52,22 @@ def s6(spark, sf):
         F.count(F.lit(1)).alias("rows"), F.count_distinct("trade_id").alias("trades"))
 
 
-@query("w3_keyed_insert", f"""WITH {S.V_REPLAY} SELECT venue, symbol, trade_id, ts, price, qty,
-  is_buyer_maker, ingested_at, CAST(ts AS DATE) AS trade_day FROM v_latest""")
+@query("w3_keyed_insert", f"""WITH {S.V_REPLAY}, moved AS (SELECT * REPLACE (
+    CASE WHEN trade_id % 70 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS ts) FROM v_latest)
+  SELECT venue, symbol, trade_id, ts, price, qty, is_buyer_maker, ingested_at,
+    CAST(ts AS DATE) AS trade_day FROM moved""")
 def w3(spark, sf):
-    """Insert the first prints, then merge replays and corrections into the same days."""
+    """Insert the first prints, then merge replays and corrections; these move a trade to the next day."""
     path = scratch_dir(spark, "trades")
-    day = F.to_date("ts")
-    first = S.trades(spark, sf).withColumn("trade_day", day)
-    tables.upsert(spark, path, first, ["venue", "symbol", "trade_id"], "trade_day")
+    key = ["venue", "symbol", "trade_id"]
+    snapshots.upsert(spark, path, S.trades(spark, sf).withColumn("trade_day", F.to_date("ts")), key,
+                     "trade_day", "first")
+    moved = F.when(F.col("trade_id") % 70 == 0, F.col("ts") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("ts"))
     later = S.replay(spark, sf).where("trade_id % 50 = 0 OR trade_id % 70 = 0").withColumn(
-        "trade_day", day)
-    tables.upsert(spark, path, later, ["venue", "symbol", "trade_id"], "trade_day")
-    return spark.read.schema(first.schema).parquet(path)
+        "ts", moved).withColumn("trade_day", F.to_date("ts"))
+    for _ in range(2):
+        snapshots.upsert(spark, path, later, key, "trade_day", "later")
+    return snapshots.read(spark, path)
 
 
 SOURCE = G.Source("sim", TRADES, "trades", checks=("contract", "uniqueness", "monotonic_trade_id",
@@ -81,7 +85,7 @@ def r4(spark, sf):
     root = scratch_dir(spark, "load")
     raw = S.raw_trades(spark, sf).drop("arrived")
     out = G.run_source(spark, LOOSE, raw, root, now=S.NOW, run_id="load-1")
-    loaded = spark.read.parquet(f"{root}/trades")
+    loaded = snapshots.read(spark, f"{root}/trades")
     return loaded.agg(
         F.lit(out["source"]).alias("source"), F.lit(out["rows_acquired"]).cast("bigint").alias("rows_acquired"),
         F.lit(out["rows_clean"]).cast("bigint").alias("rows_clean"),
@@ -96,7 +100,7 @@ def r4b(spark, sf):
     root = scratch_dir(spark, "blocked")
     raw = S.raw_trades(spark, sf).drop("arrived")
     out = G.run_source(spark, SOURCE, raw, root, now=S.NOW, run_id="load-1")
-    return spark.read.parquet(f"{root}/quality_events").where("status = 'fail'").agg(
+    return G.logged(spark, root, "quality_events").where("status = 'fail'").agg(
         F.lit(out["rows_acquired"]).cast("bigint").alias("rows_acquired"),
         F.lit(out["rows_loaded"]).cast("bigint").alias("rows_loaded"),
         F.array_join(F.sort_array(F.collect_set("check_name")), ",").alias("blocked_by"))
@@ -109,11 +113,11 @@ def w5(spark, sf):
     root = scratch_dir(spark, "restore")
     raw = S.raw_trades(spark, sf).drop("arrived")
     G.run_source(spark, LOOSE, raw, root, now=S.NOW, run_id="load-1")
-    keep = spark.read.parquet(f"{root}/trades").drop("ingested_at")
+    keep = snapshots.read(spark, f"{root}/trades").drop("ingested_at")
     before = scratch_dir(spark, "before")
     keep.write.parquet(before)
     out = G.restore(spark, LOOSE, root, now=S.NOW)
-    after = spark.read.parquet(f"{root}/trades").drop("ingested_at")
+    after = snapshots.read(spark, f"{root}/trades").drop("ingested_at")
     return tables.difference(spark.read.parquet(before), after).withColumn(
         "rows_restored", F.lit(out["rows_restored"]).cast("bigint"))
 
