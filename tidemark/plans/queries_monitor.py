@@ -178,11 +178,6 @@ def k10(spark, sf):
     return D.ledger_state(attempts)
 
 
-@query("k9_delivery_identity")
-def k9(spark, sf):
-    return D.fingerprints(spark, sf, "*.parquet")
-
-
 DELIVERIES = """dl AS (SELECT event_id, event_type AS source, ts AS file_time,
   ts + INTERVAL 2 SECOND AS detected_at,
   ts + INTERVAL 2 SECOND + to_milliseconds(CAST(round(value * 1000) AS BIGINT)) AS queryable_at

@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import contract as C
+from tidemark.operators import deliveries as D
+from tidemark.plans import delivery as L
 from tidemark.plans import ingest as G
 from tidemark.plans import queries_model as QM
 from tidemark.plans import recipes as P
@@ -139,9 +141,17 @@ def w7(spark, sf):
                          finished=S.NOW)
 
 
-@query("w8_retention_report")
+@query("w8_retention_report", """SELECT 'symbol=' || event_type AS folder, 1::BIGINT AS files,
+  CASE WHEN event_type < 'p' THEN 1 ELSE 0 END::BIGINT AS expired_files FROM events GROUP BY event_type""")
 def w8(spark, sf):
-    return landing.retention_report(spark, sf, now="2030-01-01", days=90)
+    """One file a symbol; those up to a letter are dated back past the limit."""
+    root = scratch_dir(spark, "kept")
+    landing.write_raw(S.trades(spark, sf).coalesce(1), root, "ticks", when=S.NOW)
+    for path in (r["path"] for r in D.file_listing(spark, root, "*.parquet").select("path").collect()):
+        target, fs = snapshots.file_system(spark, path)
+        fs.setTimes(target, 1_700_000_000_000 if path.split("symbol=")[1] < "p" else 4_102_444_800_000, -1)
+    return landing.retention_report(spark, root, now="2100-01-02", days=90).select(
+        "folder", "files", "expired_files")
 
 
 # ---- streams -----------------------------------------------------------------------
@@ -174,25 +184,32 @@ def k5(spark, sf):
     for k in range(3):
         rows.where(f"trade_id % 3 = {2 - k} OR trade_id % 4 = {k}").coalesce(1).write.mode(
             "append").parquet(drop)
-        I.to_table(I.drop_replays(I.file_stream(spark, drop, rows.schema)), out, checkpoint)
-    return spark.read.schema(rows.schema).parquet(out)
+        stream = I.file_stream(spark, drop, rows.schema).withColumn("trade_day", F.to_date("ts"))
+        I.keep_new(stream, out, checkpoint, partition="trade_day")
+    return snapshots.read(spark, out).drop("trade_day")
 
 
-@query("k6_stream_bars", f"""WITH {S.V_TRADES}, b AS (SELECT venue, symbol,
-    time_bucket(INTERVAL 15 MINUTE, ts) AS bucket, first(price ORDER BY ts, trade_id) AS open,
+@query("k6_stream_bars", f"""WITH {S.V_REPLAY}, moved AS (SELECT * REPLACE (
+    CASE WHEN trade_id % 70 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS ts) FROM v_latest)
+  SELECT venue, symbol, time_bucket(INTERVAL 15 MINUTE, ts) AS bucket, first(price ORDER BY ts, trade_id) AS open,
     max(price) AS high, min(price) AS low, last(price ORDER BY ts, trade_id) AS close,
-    round(sum(qty), 4) AS volume, count(*) AS trades FROM v_trades GROUP BY ALL)
-  SELECT * FROM b""")
+    round(sum(qty), 4) AS volume, count(*) AS trades, round(sum(price * qty), 4) AS notional
+  FROM moved GROUP BY ALL""")
 def k6(spark, sf):
-    """Three passes over files in mixed order of time: late trades change their bars."""
-    rows = S.trades(spark, sf)
+    """Three passes in mixed order of time: late trades, replays, and corrections that move to the next day."""
+    later = F.col("ingested_at") > F.col("ts") + F.expr("INTERVAL 90 SECONDS")
+    rows = S.replay(spark, sf).withColumn(
+        "ts", F.when(later, F.col("ts") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("ts")))
     out, checkpoint = I.workspace(spark, "bars")
     drop = scratch_dir(spark, "ticks")
     for k in range(3):
         rows.where(f"trade_id % 3 = {2 - k}").coalesce(1).write.mode("append").parquet(drop)
-        I.to_latest(I.stream_bars(I.file_stream(spark, drop, rows.schema)), out, checkpoint)
-    return I.latest(spark, out, ("venue", "symbol", "bucket")).withColumn(
-        "volume", F.round("volume", 4))
+        if k:
+            rows.where(f"trade_id % 3 = {3 - k} AND trade_id % 4 = 0").coalesce(1).write.mode("append").parquet(drop)
+        I.keep_bars(I.file_stream(spark, drop, rows.schema), f"{out}/trades", f"{out}/bars", checkpoint)
+    return snapshots.read(spark, f"{out}/bars").select(
+        "venue", "symbol", "bucket", "open", "high", "low", "close", F.round("volume", 4).alias("volume"),
+        "trades", F.round("notional", 4).alias("notional"))
 
 
 @query("k7_late_and_future_rows", """SELECT CASE WHEN ts > TIMESTAMP '2024-01-20 00:01:00' THEN 'future'
@@ -215,26 +232,82 @@ def k7(spark, sf):
     return I.batches(spark, f"{out}/rows").groupBy("route").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("k8_drop_scan", "SELECT l_returnflag AS symbol, count(*) AS rows FROM lineitem GROUP BY 1")
+def one_file(spark, rows, path):
+    """Rows as one file of a name of our own, as a vendor would drop it."""
+    part = scratch_dir(spark, "part")
+    rows.coalesce(1).write.parquet(part)
+    source, fs = snapshots.file_system(spark, part)
+    made = next(s.getPath() for s in fs.listStatus(source) if s.getPath().getName().endswith(".parquet"))
+    target, _ = snapshots.file_system(spark, path)
+    fs.mkdirs(target.getParent())
+    fs.rename(made, target)
+
+
+def copy_file(spark, path, to):
+    source, fs = snapshots.file_system(spark, path)
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
+        fs, source, fs, snapshots.file_system(spark, to)[0], False, spark._jsc.hadoopConfiguration())
+
+
+@query("k8_drop_scan", """SELECT l_returnflag AS symbol, count(*) AS rows FROM lineitem
+  WHERE l_returnflag <> 'A' GROUP BY 1""")
 def k8(spark, sf):
-    """CSV drops with a name pattern; a hidden half-written file is never picked up."""
-    path = scratch_dir(spark, "drop")
+    """One file a symbol: that of A is still being written, R was loaded before and came again."""
+    drop = scratch_dir(spark, "drop")
     lines = S.table(spark, sf, "lineitem").select(
         F.col("l_returnflag").alias("symbol"), F.col("l_orderkey").cast("string").alias("id"))
-    lines.write.option("header", "true").csv(path)
-    out, checkpoint = I.workspace(spark, "drop-out")
-    stream = I.file_stream(spark, path, lines.schema, fmt="csv", pattern="*.csv", header="true")
-    I.to_table(stream, out, checkpoint)
-    return spark.read.parquet(out).groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))
-
-
-@query("k11_delivery_gate", f"""{RAW} SELECT count(*) AS rows, count(reason) AS rejected,
-  (SELECT count(*) FROM v_gated WHERE reason IS NULL) AS loaded FROM v_gated""")
+    for symbol in "ANR":
+        one_file(spark, lines.where(F.col("symbol") == symbol), f"{drop}/{symbol}.parquet")
+    copy_file(spark, f"{drop}/R.parquet", f"{drop}/R-again.parquet")
+    copy_file(spark, f"{drop}/N.parquet", f"{drop}/.N.parquet")
+    growing, fs = snapshots.file_system(spark, f"{drop}/A.parquet")
+    fs.setTimes(growing, 7_258_118_400_000, -1)
+    files = D.fingerprints(D.settled_files(spark, drop, "*.parquet", now="2190-01-01", settle_seconds=60))
+    waiting = D.waiting(files, spark.createDataFrame([], "fingerprint string, ok boolean"))
+    return spark.read.schema(lines.schema).parquet(*(r["path"] for r in waiting.collect())).groupBy(
+        "symbol").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("k9_delivery_identity", """SELECT event_type AS symbol, count(*) AS rows,
+  sha256(string_agg(CAST(event_id AS VARCHAR) || ',' || CAST(user_id AS VARCHAR) || chr(10), ''
+    ORDER BY event_id)) AS fingerprint FROM events GROUP BY event_type""")
+def k9(spark, sf):
+    """One text file a symbol; its identity is the digest of its bytes."""
+    events = S.table(spark, sf, "events").select(
+        "event_id", F.col("event_type").alias("symbol"),
+        F.concat_ws(",", F.col("event_id").cast("string"), F.col("user_id").cast("string")).alias("line"))
+    path = scratch_dir(spark, "identity")
+    events.repartition("symbol").sortWithinPartitions("symbol", "event_id").select("symbol", "line").write.partitionBy(
+        "symbol").text(path)
+    named = F.regexp_extract("path", "symbol=([^/]*)/", 1).alias("symbol")
+    prints = D.fingerprints(D.settled_files(spark, path, "*.txt", now="2190-01-01")).select(named, "fingerprint")
+    return prints.join(events.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows")), "symbol")
+
+
+@query("k11_delivery_gate", f"""{RAW}, f(file, attempts, ok, blocked_by, rows_loaded) AS (VALUES
+    ('blocked', 2, false, 'contract', 0), ('broken', 2, false, 'acquisition_error', 0),
+    ('good', 1, true, NULL, -1))
+  SELECT file, CAST(attempts AS BIGINT) AS attempts, ok, blocked_by, (SELECT count(*) FROM v_clean) AS rows_in_table,
+    CASE WHEN rows_loaded < 0 THEN (SELECT count(*) FROM v_clean) ELSE 0 END AS rows_loaded FROM f""")
 def k11(spark, sf):
-    raw = S.raw_trades(spark, sf).drop("arrived")
-    drop = landed(spark, sf, raw, "deliveries")
-    out, checkpoint = I.workspace(spark, "deliveries-out")
-    I.gate_deliveries(I.file_stream(spark, drop, raw.schema), TRADES, out, checkpoint, now=S.NOW)
-    loaded = I.batches(spark, f"{out}/loaded").agg(F.count(F.lit(1))).scalar()
-    return I.batches(spark, f"{out}/deliveries").agg(
-        F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"), loaded.alias("loaded"))
+    """A good file and its copy, one that the gate blocks, one that cannot be read; three passes, two attempts."""
+    root = scratch_dir(spark, "deliveries")
+    drop, raw = f"{root}/drop", S.raw_trades(spark, sf).drop("arrived")
+    sound = "qty IS NOT NULL AND ts <> 'not a time' AND price <> 'n/a'"
+    one_file(spark, raw.where(sound), f"{drop}/good.parquet")
+    one_file(spark, raw, f"{drop}/blocked.parquet")
+    broken = scratch_dir(spark, "broken")
+    raw.select("symbol").coalesce(1).write.text(broken)
+    text, fs = snapshots.file_system(spark, broken)
+    made = next(s.getPath().toString() for s in fs.listStatus(text) if s.getPath().getName().endswith(".txt"))
+    copy_file(spark, made, f"{drop}/broken.parquet")
+    for _ in range(3):
+        L.handle_drop(spark, SOURCE, drop, root, now=S.NOW, pattern="*.parquet", max_attempts=2,
+                      settle_seconds=-10**10)
+        copy_file(spark, f"{drop}/good.parquet", f"{drop}/good-resent.parquet")
+    name = F.regexp_extract("path", r"([a-z]+)[^/]*$", 1).alias("file")
+    loaded = snapshots.read(spark, f"{root}/trades").agg(F.count(F.lit(1))).scalar()
+    return L.ledger(spark, root).groupBy(name).agg(
+        F.count(F.lit(1)).alias("attempts"), F.bool_or("ok").alias("ok"),
+        F.max("blocked_by").alias("blocked_by"), F.sum("rows_loaded").alias("rows_loaded"),
+        loaded.alias("rows_in_table"))

@@ -1,4 +1,4 @@
-"""Streaming twins: incremental load, replay removal, bars, late rows and dropped files.
+"""Streaming twins: incremental load, replay removal, bars and late rows.
 
 Rows may come in any order of time: nothing is dropped for being late.
 
@@ -14,9 +14,9 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pyspark.sql.types import StructType
 
 from tidemark.functions.times import instant
-from tidemark.operators.bars import TRADE_GRAIN
-from tidemark.operators.contract import REASON, Contract, gate
+from tidemark.operators.bars import TRADE_GRAIN, ohlcv
 from tidemark.session import scratch_dir
+from tidemark.sources import snapshots
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, *, fmt: str = "parquet",
@@ -52,45 +52,40 @@ def per_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], check
     return drain(stream.writeStream.foreachBatch(handle), checkpoint, every=every)
 
 
-def drop_replays(stream: DataFrame, grain: Sequence[str] = TRADE_GRAIN) -> DataFrame:
+def keep_new(stream: DataFrame, path: str, checkpoint: str, *, partition: str,
+             grain: Sequence[str] = TRADE_GRAIN, name: str = "keep", every: str | None = None):
     """A replayed row collapses onto the first, however late it comes.
 
-    The state holds one entry for each key ever seen; no row is dropped for its age.
+    The table is the state: a batch is held against the keys of those days alone whose bounds it
+    meets. No state is kept in memory or in a state store.
     """
-    return stream.dropDuplicates(list(grain))
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        snapshots.add_new(batch.sparkSession, path, batch, grain, partition, f"{name}-{batch_id}")
+
+    return per_batch(stream, handle, checkpoint, every=every)
 
 
-def stream_bars(stream: DataFrame, width: str = "15 minutes", *,
-                keys: Sequence[str] = ("venue", "symbol"), time: str = "ts") -> DataFrame:
-    """Bars over all rows so far, for a sink of updates such as :func:`to_latest`.
+def keep_bars(stream: DataFrame, trades: str, bars: str, checkpoint: str, *, freq: str = "15m",
+              grain: Sequence[str] = TRADE_GRAIN, time: str = "ts", name: str = "bars",
+              every: str | None = None):
+    """Trades merged into a keyed table by day, and the bars of the days a batch changed.
 
-    A late row changes its bar whatever its age; the state grows with the number of bars.
+    Replays, corrections and late trades come out as in a batch run over all rows, a trade that
+    moved to another day included. A batch that broke off between the two tables finds the days in
+    the history of the first.
     """
-    order = F.struct(time, "trade_id")
-    kind = dict(stream.dtypes)[time]
-    timed = stream.withColumn("_at", F.col(time).cast("timestamp"))
-    return timed.groupBy(*keys, F.window("_at", width)).agg(
-        F.min_by("price", order).alias("open"), F.max("price").alias("high"),
-        F.min("price").alias("low"), F.max_by("price", order).alias("close"),
-        F.sum("qty").alias("volume"), F.count(F.lit(1)).alias("trades"),
-    ).select(*keys, F.col("window.start").cast(kind).alias("bucket"), "open", "high", "low",
-             "close", "volume", "trades")
-
-
-def to_latest(stream: DataFrame, path: str, checkpoint: str, *, every: str | None = None):
-    """Changed rows of each batch, in a folder of the batch that a repeated run replaces."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark, run = batch.sparkSession, f"{name}-{batch_id}"
+        snapshots.upsert(spark, trades, batch.withColumn("trade_day", F.to_date(time)), grain, "trade_day", run)
+        version = snapshots.version_of(spark, trades, run)
+        if version is None:
+            return
+        days = snapshots.changed(spark, trades, version)
+        rows = ohlcv(snapshots.read_parts(spark, trades, days), freq, time=time, deduplicated=True)
+        snapshots.replace(spark, bars, rows.withColumn("trade_day", F.to_date("bucket")),
+                          ["venue", "symbol", "bucket"], "trade_day", run, parts=days)
 
-    return drain(stream.writeStream.foreachBatch(handle).outputMode("update"), checkpoint,
-                 every=every)
-
-
-def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Every key's row of the newest batch that changed it."""
-    rows = spark.read.parquet(path)
-    rest = [c for c in rows.columns if c not in (*keys, "batch")]
-    return rows.groupBy(*keys).agg(*[F.max_by(c, "batch").alias(c) for c in rest])
+    return per_batch(stream, handle, checkpoint, every=every)
 
 
 def route_rows(batch: DataFrame, *, now, mark=None, horizon_seconds: int = 60,
@@ -125,37 +120,6 @@ def route_stream(stream: DataFrame, out: str, checkpoint: str, *, now,
     return per_batch(stream, handle, checkpoint, every=every)
 
 
-def gate_deliveries(stream: DataFrame, contract: Contract, out: str, checkpoint: str, *, now,
-                    every: str | None = None):
-    """Gate each file on its own: a bad file is refused without holding up the others.
-
-    One pass per batch gates all its files together; the budget is applied per file.
-    Files that fail stay out of ``loaded`` and are listed in ``deliveries`` so that a
-    later batch pass can read them again. The files must be Parquet, whose rows have a
-    position; text drops are landed first.
-    """
-    limit = contract.rules.get("max_reject_fraction", 1.0)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        gated = gate(batch, contract, now=now, arrival=("_file", "_row"))
-        rows = gated.rows
-        bad = F.count_if(F.col(REASON).isNotNull())
-        verdicts = rows.groupBy(F.col("_file").alias("file")).agg(
-            F.count(F.lit(1)).alias("rows"), bad.alias("rejected"),
-            (bad / F.count(F.lit(1)) > float(limit)).alias("blocked"))
-        verdicts.write.mode("overwrite").parquet(f"{out}/deliveries/batch={batch_id}")
-        judged = batch.sparkSession.read.schema(verdicts.schema).parquet(
-            f"{out}/deliveries/batch={batch_id}")
-        passed = judged.where("NOT blocked").select(F.col("file").alias("_file"))
-        kept = rows.where(F.col(REASON).isNull()).join(passed, "_file", "left_semi").select(
-            *gated.columns)
-        kept.write.mode("overwrite").parquet(f"{out}/loaded/batch={batch_id}")
-
-    with_origin = stream.select("*", F.col("_metadata.file_path").alias("_file"),
-                                F.col("_metadata.row_index").alias("_row"))
-    return per_batch(with_origin, handle, checkpoint, every=every)
-
-
 def batches(spark: SparkSession, path: str) -> DataFrame:
     """What the batch sinks wrote, all batches together."""
     return spark.read.parquet(f"{path}/batch=*")
