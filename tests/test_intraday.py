@@ -2,6 +2,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import asof as A
 from tidemark.operators import bars as B
@@ -176,3 +177,60 @@ def test_null_keys_match_nothing_in_any_plan(spark, prune):
     q = asks(spark, [5]).union(asks(spark, [6], None))
     for few in (None, False):
         assert answers(A.asof_join(q, t, few_decisions=few, prune_keys=prune)) == {5: 10.0, 6: None}
+
+
+@PLANS
+def test_replays_and_corrections_need_no_deduplication(spark, few):
+    t = trades(spark, [(10, 100), (20, 200), (30, 300)])
+    fixed = t.where("price = 200").withColumn("price", F.lit(9.0)).withColumn(
+        "ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 DAY"))
+    undated = t.where("price = 300").withColumn("price", F.lit(7.0)).withColumn(
+        "ingested_at", F.lit(None).cast("timestamp_ntz"))
+    every = t.unionByName(fixed).unionByName(t).unionByName(undated)
+    q = asks(spark, [9, 10, 25, 31])
+    got = answers(A.asof_join(q, every, version="ingested_at", few_decisions=few))
+    assert got == {9: None, 10: 100, 25: 9, 31: 300}
+
+
+def test_exact_quantiles(spark):
+    import random
+
+    import numpy as np
+    from tidemark.functions.quantiles import exact_quantile
+
+    rng = random.Random(1)
+    rows = [("hot", rng.lognormvariate(0, 3)) for _ in range(5000)] + [("same", 2.5)] * 40
+    rows += [("one", 7.0), ("two", 1.0), ("two", 4.0), ("none", None), ("nan", float("nan")), (None, 3.0)]
+    rows += [("far", 10.0 ** rng.randint(-200, 200)) for _ in range(301)] + [("ties", float(i % 3)) for i in range(100)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    for q in (0.5, 0.0, 1.0, 0.37):
+        want = {k: float(np.quantile([v for j, v in rows if j == k], q))
+                for k in ("hot", "same", "one", "two", "far", "ties")}
+        got = {r["k"]: r["quantile"] for r in exact_quantile(df, ["k"], "v", q).collect()}
+        assert {k: got[k] for k in want} == pytest.approx(want, rel=1e-12)
+        assert set(got) - set(want) <= {None}
+
+
+@pytest.mark.parametrize("contaminated", [False, True])
+def test_trailing_windows_against_brute_force(spark, contaminated):
+    import random
+    import statistics
+
+    from tidemark.operators import trailing as T
+
+    rng = random.Random(4)
+    bars = sorted(rng.sample(range(-40, 200), 150))
+    rets = {b: None if rng.random() < 0.05 else rng.uniform(-1, 1) * 10 ** rng.randint(-3, 3) for b in bars}
+    returns = spark.createDataFrame([(b, r) for b, r in rets.items()], "b long, ret double").selectExpr(
+        "'v' AS venue", "'S' AS symbol", "timestamp_ntz'2026-01-01' + make_dt_interval(0, 0, 0, b * 60) AS bucket", "ret")
+    at = [60 * rng.randint(-30, 210) + rng.choice([0, 0, 17.5, 59]) for _ in range(120)]
+    asked = spark.createDataFrame([(float(a),) for a in set(at)], "s double").selectExpr(
+        "'v' AS venue", "'S' AS symbol", "timestamp_ntz'2026-01-01' + make_dt_interval(0, 0, 0, s) AS query_ts", "s")
+    for window in (1, 10, 37):
+        got = T.attach_trailing(asked, returns, window_minutes=window, contaminated=contaminated).collect()
+        for r in got:
+            seen = [b for b in bars if 60 * b >= r["s"] - 60 * window and (
+                60 * b < r["s"] if contaminated else 60 * b + 60 <= r["s"])]
+            values = [rets[b] for b in seen if rets[b] is not None]
+            assert r["bars_in_window"] == len(seen)
+            assert r["realised_vol"] == (pytest.approx(statistics.stdev(values), rel=1e-9) if len(values) > 1 else None)

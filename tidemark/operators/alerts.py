@@ -171,4 +171,6 @@ def rows_and_age(table: DataFrame, dataset: str, time: str, *, now) -> DataFrame
 
 
 def newest_rows(log: DataFrame, n: int = 20, by: Sequence[str] = ("event_at",)) -> DataFrame:
-    return log.orderBy(*[F.desc(c) for c in by]).limit(int(n))
+    """The newest rows; of one time those of the greatest remaining columns, so that reruns agree."""
+    rest = [c for c, kind in log.dtypes if c not in by and not kind.startswith("map")]
+    return log.orderBy(*[F.desc(c) for c in (*by, *rest)]).limit(int(n))

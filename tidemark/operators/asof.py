@@ -13,9 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from tidemark.functions.carry import carried_rows
+from tidemark.functions.quantiles import exact_quantile
 from tidemark.functions.times import (
     HOUR, MINUTE, SECOND, from_micros, instant, is_ntz, micros, slice_no,
 )
@@ -59,9 +60,12 @@ def asof_join(decisions: DataFrame, trades: DataFrame, *, keys: Sequence[str] =
               query_time: str = "query_ts", trade_time: str = "ts",
               tiebreak: str = "trade_id", carry: Sequence[str] = ("price",),
               strict: bool = False, until=None, prune_keys: bool = False,
-              few_decisions: bool | None = None) -> DataFrame:
+              version: str | None = None, few_decisions: bool | None = None) -> DataFrame:
     """Left as-of join; one output row per distinct decision.
 
+    Trades may hold replays and corrections that keep their time: with ``version`` the newest
+    of one id wins its instant, so they need not be deduplicated, which would shuffle them all.
+
     A key with a null matches nothing, as in a join; such decisions stay, unmatched.
     ``strict`` matches strictly before instead of at-or-before. ``until`` is an upper
     bound of the decision times when the caller knows one; it reaches the scan. There
@@ -82,16 +86,18 @@ def asof_join(decisions: DataFrame, trades: DataFrame, *, keys: Sequence[str] =
             prints = prints.join(F.broadcast(wanted), keys, "left_semi")
 
     columns = [tiebreak, *carry]
-    prints = prints.select(*keys, micros(trade_time).alias("_trade_us"), *columns)
+    order = [tiebreak, *([VERSION] if version else []), *carry]
+    prints = prints.select(*keys, micros(trade_time).alias("_trade_us"), *columns, *(
+        [F.col(version).alias(VERSION)] if version else []))
     asked = decisions.select(*keys, micros(query_time).alias("_t"))
     small = None if few_decisions is False else _few(asked, keys)
     few_decisions = small is not None
     if few_decisions:
         asked, slice_us = small
-        points = _snapped(prints, asked, keys, columns, strict, slice_us)
+        points = _snapped(prints, asked, keys, order, strict, slice_us)
     else:
         slice_us = MINUTE
-        points = _instants(prints, asked, keys, columns, strict, slice_us)
+        points = _instants(prints, asked, keys, order, strict, slice_us)
 
     row = F.when(F.col("_trade_us").isNotNull(), F.struct("_trade_us", *columns))
     entering = carried_rows(points, keys, "_slice", "_trade_us", columns).withColumns(
@@ -111,29 +117,29 @@ def asof_join(decisions: DataFrame, trades: DataFrame, *, keys: Sequence[str] =
     )
 
 
+VERSION = "_version"
 #: Most decisions one slice may hold for trades to look them up in place.
 PER_SLICE = 64
 
 
 def _few(asked: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int] | None:
-    """The distinct decisions, stored, and the slice width to look them up by.
+    """The decisions by slice of an hour or a minute, stored, and the width; None if they are too many.
 
-    None when they are too many to broadcast or crowd even one-minute slices; both
-    are counted. The stored table replaces the decisions' own lineage, which would
-    otherwise be evaluated once per use.
+    One job: the slices are counted while they are written. Only a crowded hour costs a second one.
     """
-    if not within(asked):
-        return None
-    # Counted; one partition keeps the small aggregates free of shuffles.
-    head = written(asked.dropDuplicates(), "decisions").coalesce(1)
-    hour, minute = slice_no("_t", HOUR).alias("_h"), slice_no("_t", MINUTE).alias("_m")
-    seen = (
-        head.groupBy(*keys, hour, minute).agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(*keys, "_h").agg(F.sum("n").alias("n"), F.max("n").alias("m"))
-        .agg(F.max("n").alias("hour"), F.max("m").alias("minute")).first())
-    if (seen["minute"] or 0) > PER_SLICE:
+    seen = Observation()
+    by_hour = asked.dropDuplicates().groupBy(*keys, slice_no("_t", HOUR).alias("_slice")).agg(
+        F.sort_array(F.collect_list("_t")).alias("_asks"))
+    lookup = written(by_hour.observe(seen, F.sum(F.size("_asks")).alias("all"), F.max(F.size("_asks")).alias("most")),
+                     "decisions")
+    if (seen.get["all"] or 0) > BROADCAST_ROWS:
         return None
-    return head, HOUR if (seen["hour"] or 0) <= PER_SLICE else MINUTE
+    if (seen.get["most"] or 0) <= PER_SLICE:
+        return lookup, HOUR
+    by_minute = lookup.select(*keys, F.explode("_asks").alias("_t")).groupBy(
+        *keys, slice_no("_t", MINUTE).alias("_slice")).agg(F.sort_array(F.collect_list("_t")).alias("_asks"))
+    crowded = by_minute.agg(F.max(F.size("_asks")).alias("most")).first()["most"]
+    return None if crowded > PER_SLICE else (by_minute, MINUTE)
 
 
 def _instants(prints: DataFrame, asked: DataFrame, keys: Sequence[str], columns: Sequence[str],
@@ -156,16 +162,14 @@ def _snapped(prints: DataFrame, asked: DataFrame, keys: Sequence[str], columns:
              strict: bool, slice_us: int) -> DataFrame:
     """Trades reduced, where they are read, to the winner of each decision and slice.
 
-    A trade belongs to the first decision of its slice that may see it, or to the end
+    ``asked`` holds the sorted decisions of each slice. A trade belongs to the first of its slice that may see it, or to the end
     of the slice. Only the winners are shuffled: at most one row per decision and per
     (key, slice) from each task, however many trades there are.
     """
-    asks = asked.withColumn("_slice", slice_no("_t", slice_us))
-    lookup = asks.groupBy(*keys, "_slice").agg(F.sort_array(F.collect_list("_t")).alias("_asks"))
     placed = (
         prints.withColumn("_slice", slice_no("_trade_us", slice_us))
-        .join(F.broadcast(asks.select(*keys).distinct()), list(keys), "left_semi")
-        .join(F.broadcast(lookup), [*keys, "_slice"], "left"))
+        .join(F.broadcast(asked.select(*keys).distinct()), list(keys), "left_semi")
+        .join(F.broadcast(asked), [*keys, "_slice"], "left"))
     at = F.col("_trade_us")
     seen_by = F.try_element_at(
         F.filter("_asks", lambda q: q > at if strict else q >= at), F.lit(1))
@@ -177,8 +181,9 @@ def _snapped(prints: DataFrame, asked: DataFrame, keys: Sequence[str], columns:
         .select(*keys, slice_no("_w._trade_us", slice_us).alias("_slice"), "_pos",
                 F.lit(False).alias("_asked"), "_w.*"))
     return winners.unionByName(
-        asks.select(*keys, "_slice", (F.col("_t") * 2).alias("_pos"),
-                    F.lit(True).alias("_asked")), allowMissingColumns=True)
+        asked.select(*keys, "_slice", F.explode("_asks").alias("_t")).select(
+            *keys, "_slice", (F.col("_t") * 2).alias("_pos"), F.lit(True).alias("_asked")),
+        allowMissingColumns=True)
 
 
 def with_staleness(matched: DataFrame, max_staleness_seconds: float = 60.0,
@@ -193,6 +198,13 @@ def with_staleness(matched: DataFrame, max_staleness_seconds: float = 60.0,
     )
 
 
+def staleness_summary(aged: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Median and worst age of the matches of each key."""
+    ages = written(aged.where(F.col("staleness_seconds").isNotNull()).select(*keys, "staleness_seconds"), "ages")
+    return ages.groupBy(*keys).agg(F.max("staleness_seconds").alias("worst_age")).join(
+        exact_quantile(ages, keys, "staleness_seconds", 0.5, "median_age"), list(keys))
+
+
 def every_kth(decisions: DataFrame, k: int, keys: Sequence[str] = KEYS,
               query_time: str = "query_ts") -> DataFrame:
     """Every k-th decision of each key in time order, for decisions on a bar grid.

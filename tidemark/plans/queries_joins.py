@@ -23,7 +23,7 @@ BASE = f"WITH {S.V_REPLAY}, {S.V_DECISIONS}"
 
 @query("j1_asof_backward", f"{BASE}, {asof_sql('v_decisions', 'v_latest')} SELECT * FROM m")
 def j1(spark, sf):
-    return A.asof_join(S.decisions(spark, sf), B.dedup_trades(S.replay(spark, sf)))
+    return A.asof_join(S.decisions(spark, sf), S.replay(spark, sf), version="ingested_at")
 
 
 @query("j2_asof_many_keys", f"""WITH {S.V_TRADES_USER}, {S.v_decisions('v_trades_user', 'v_d')},
@@ -41,13 +41,13 @@ def j2b(spark, sf):
 
 @query("j3_asof_strict_many", f"{BASE}, {asof_sql('v_decisions', 'v_latest', '>')} SELECT * FROM m")
 def j3b(spark, sf):
-    return A.asof_join(S.decisions(spark, sf), B.dedup_trades(S.replay(spark, sf)), strict=True,
+    return A.asof_join(S.decisions(spark, sf), S.replay(spark, sf), version="ingested_at", strict=True,
                        few_decisions=False)
 
 
 @query("j3_asof_strict", f"{BASE}, {asof_sql('v_decisions', 'v_latest', '>')} SELECT * FROM m")
 def j3(spark, sf):
-    return A.asof_join(S.decisions(spark, sf), B.dedup_trades(S.replay(spark, sf)), strict=True)
+    return A.asof_join(S.decisions(spark, sf), S.replay(spark, sf), version="ingested_at", strict=True)
 
 
 STALE = """SELECT venue, symbol, query_ts, trade_ts, trade_id,
@@ -59,7 +59,7 @@ STALE = """SELECT venue, symbol, query_ts, trade_ts, trade_id,
 
 @query("j4_asof_staleness", f"{BASE}, {asof_sql('v_decisions', 'v_latest')} {STALE}")
 def j4(spark, sf):
-    matched = A.asof_join(S.decisions(spark, sf), B.dedup_trades(S.replay(spark, sf)))
+    matched = A.asof_join(S.decisions(spark, sf), S.replay(spark, sf), version="ingested_at")
     return A.with_staleness(matched, 60.0)
 
 
@@ -67,8 +67,7 @@ def j4(spark, sf):
   SELECT symbol, count(*) AS decisions, count(trade_ts) AS matched,
          count(*) FILTER (trade_ts IS NULL) AS unmatched FROM m GROUP BY symbol""")
 def j5(spark, sf):
-    m = A.asof_join(S.decisions(spark, sf), B.dedup_trades(S.replay(spark, sf)),
-                    prune_keys=True)
+    m = A.asof_join(S.decisions(spark, sf), S.replay(spark, sf), version="ingested_at", prune_keys=True)
     return m.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("decisions"), F.count("trade_ts").alias("matched"),
         F.count_if(F.col("trade_ts").isNull()).alias("unmatched"))
@@ -152,11 +151,8 @@ def a14(spark, sf):
   FROM (SELECT symbol, date_diff('microsecond', trade_ts, query_ts) / CAST(1000000 AS DOUBLE) AS age
         FROM m) WHERE age IS NOT NULL GROUP BY symbol""")
 def a16(spark, sf):
-    m = A.with_staleness(
-        A.asof_join(S.decisions(spark, sf), B.dedup_trades(S.replay(spark, sf))))
-    return m.where(F.col("staleness_seconds").isNotNull()).groupBy("symbol").agg(
-        F.round(F.percentile("staleness_seconds", 0.5), 6).alias("median_age"),
-        F.max("staleness_seconds").alias("worst_age"))
+    m = A.with_staleness(A.asof_join(S.decisions(spark, sf), S.replay(spark, sf), version="ingested_at"))
+    return A.staleness_summary(m).withColumn("median_age", F.round("median_age", 6))
 
 
 @query("n1_research_frame", f"""{BASE}, {asof_sql('v_decisions', 'v_latest')},

@@ -413,9 +413,9 @@ def h7(spark, sf):
   SELECT b.symbol, b.bucket, b.trades AS prints, round(b.high - b.low, 6) AS price_range,
     round(ag.worst, 6) AS worst_staleness FROM b LEFT JOIN ag USING (symbol, bucket)""")
 def o5(spark, sf):
-    prints = B.dedup_trades(S.replay(spark, sf))
-    bars = B.ohlcv(prints, "1m", deduplicated=True)
-    marks = A.with_staleness(A.asof_join(S.decisions(spark, sf), prints)).groupBy(
+    prints = S.replay(spark, sf)
+    bars = B.ohlcv(prints, "1m")
+    marks = A.with_staleness(A.asof_join(S.decisions(spark, sf), prints, version="ingested_at")).groupBy(
         "symbol", bar_start("query_ts", "1m").alias("bucket")).agg(
         F.max("staleness_seconds").alias("worst"))
     return bars.join(marks, ["symbol", "bucket"], "left").select(

@@ -20,13 +20,13 @@ EOD_GRAIN = ["exchange", "symbol", "expiry", "trade_date"]
 
 def select_trades(trades: DataFrame, symbol: str, start=None, end=None, *, venue: str,
                   limit: int | None = None) -> DataFrame:
-    """Trades of one symbol in ``[start, end)``, ordered by time."""
+    """Trades of one symbol in ``[start, end)``, ordered by time, then by id and version."""
     rows = trades.where((F.col("symbol") == symbol) & (F.col("venue") == venue))
     if start is not None:
         rows = rows.where(F.col("ts") >= instant(start))
     if end is not None:
         rows = rows.where(F.col("ts") < instant(end))
-    rows = rows.orderBy("ts")
+    rows = rows.orderBy("ts", *(c for c in ("trade_id", "ingested_at", "price", "qty") if c in rows.columns))
     return rows.limit(int(limit)) if limit else rows
 
 
@@ -48,9 +48,8 @@ def adhoc(spark: SparkSession, tables: dict[str, DataFrame], text: str) -> DataF
 def research_frame(decisions: DataFrame, trades: DataFrame, *, window_minutes: int = 30,
                    max_staleness_seconds: float = 60.0) -> DataFrame:
     """As-of price with its age plus trailing volatility, one row per decision."""
-    prints = B.dedup_trades(trades)
-    matched = A.with_staleness(A.asof_join(decisions, prints), max_staleness_seconds)
-    returns = T.bar_returns(B.ohlcv(prints, "1m", deduplicated=True))
+    matched = A.with_staleness(A.asof_join(decisions, trades, version="ingested_at"), max_staleness_seconds)
+    returns = T.bar_returns(B.ohlcv(trades, "1m"))
     return T.attach_trailing(matched, returns, window_minutes=window_minutes)
 
 
@@ -114,9 +113,8 @@ class MarketData:
         return A.normalise_decisions(keyed)
 
     def as_of(self, symbol, times: DataFrame, *, venue, max_staleness_seconds=60.0) -> DataFrame:
-        prints = B.dedup_trades(self._trades(symbol, venue))
-        return A.with_staleness(A.asof_join(self._asks(symbol, venue, times), prints),
-                                max_staleness_seconds)
+        return A.with_staleness(A.asof_join(self._asks(symbol, venue, times), self._trades(symbol, venue),
+                                            version="ingested_at"), max_staleness_seconds)
 
     def research_frame(self, symbol, times: DataFrame, *, venue,
                        vol_window_minutes=30) -> DataFrame:
