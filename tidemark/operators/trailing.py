@@ -54,15 +54,14 @@ def attach_trailing(decisions: DataFrame, returns: DataFrame, *,
     window_us, span_us = window_minutes * MINUTE, span_seconds * SECOND
     first, last = _grid(micros(query_time), window_us, span_us, contaminated)
     asked = decisions.withColumn("_last", last).withColumn("_len", last - first + 1)
-    # Decisions between the same two grid lines share an anchor.
-    anchors = asked.select(*keys, "_last", "_len").dropDuplicates()
-
     # The window spans `whole` bars, give or take the one its edges cut.
     whole, cut = divmod(window_us, span_us)
     if contaminated:
         lengths = [whole, whole + 1] if cut else [whole]
     else:
         lengths = [n for n in (whole, whole - 1) if n > 0]
+    # Decisions between the same two grid lines share an anchor; a window may hold no whole bar.
+    anchors = asked.where(F.col("_len").isin(lengths)).select(*keys, "_last", "_len").dropDuplicates()
     place = F.floor(micros("bucket") / F.lit(span_us)).cast("long")
     bars = returns.select(*keys, place.alias("_pos"), "ret", F.lit(1).alias("_bar")).withColumn(
         "_len", F.explode(F.array(*(F.lit(n).cast("long") for n in lengths))))
