@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.session import written
+from tidemark.session import discard, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -25,8 +25,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.join(low, "u")
         hooked = small.where(F.col("v") > F.col("m")).select(
             F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(hooked.unionByName(low.select("u", F.col("m").alias("v"))).distinct(),
-                        "links")
+        before, edges = edges, written(hooked.unionByName(
+            low.select("u", F.col("m").alias("v"))).distinct(), "links")
+        discard(before)
         now = edges.agg(F.count(F.lit(1)), F.sum("u"), F.sum(
             F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:

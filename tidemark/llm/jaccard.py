@@ -39,7 +39,7 @@ from tidemark.llm.blocks import blocks
 from tidemark.llm.components import components
 from tidemark.llm.words import (
     LOWER, WORD_VALUE, chunks, mix, segment_hashes, text_bytes, words)
-from tidemark.session import written
+from tidemark.session import discard, written
 
 ORDERS = 3
 #: Counters, by hash, of the sets that hold a token; a token is frequent if its counter stands
@@ -103,7 +103,7 @@ def read_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
             marks.append(b.column(2))
             yield b
 
-    at = 0
+    at, counts = 0, None
     for ids, body, offsets in blocks(kept()):
         sets = shingle_sets(body, offsets, n)
         digests = [set_digest(s) for s in sets]
@@ -118,11 +118,14 @@ def read_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
         marks, at = [mark.slice(at + rows)], 0
         single = {d: s for d, s in zip(digests, sets)}.values()
         tokens = np.concatenate([np.zeros(0, np.uint64), *single])
-        counts = np.bincount(counter(tokens), minlength=COUNTERS).astype("<u4")
+        counts = np.zeros(COUNTERS, np.int64) if counts is None else counts
+        counts += np.bincount(counter(tokens), minlength=COUNTERS)
+    if counts is not None:
         none = pa.nulls(SLICES, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [none, none, none, none, none, pa.array(range(SLICES), pa.int32()),
-             pa.array([squeeze.compress(c.tobytes()) for c in np.split(counts, SLICES)])],
+             pa.array([squeeze.compress(np.minimum(c, 2**32 - 1).astype("<u4").tobytes())
+                       for c in np.split(counts, SLICES)])],
             names=["doc_id", "mark", "n_shingles", "set_a", "set_b", "slice", "counts"])
 
 
@@ -280,8 +283,8 @@ def least_of_others(token: np.ndarray, excess: np.ndarray) -> np.ndarray:
     return out
 
 
-def compared(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` at least half as similar as asked, and in what their sets differ."""
+def compared(pairs: DataFrame, docs: DataFrame, n: int, percent: int, label: str) -> DataFrame:
+    """The pairs ``a``, ``b`` at least half as similar as asked, and in what their sets differ, stored."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = []
@@ -307,17 +310,19 @@ def compared(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     texts = docs.where("text IS NOT NULL").join(asked, "doc_id", "left_semi")
     second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    return pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b").mapInArrow(
-        check, TRIED)
+    out = written(pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b").mapInArrow(
+        check, TRIED), label)
+    discard(pairs, asked)
+    return out
 
 
-def around_hub(percent: int, mine: pa.Table, others: pa.Table) -> pa.Table:
+def around_hub(percent: int, listed: bool, mine: pa.Table, others: pa.Table) -> pa.Table:
     """All links between sets of one hub: each of ``mine`` against each of ``others``.
 
     With d the differences to the hub h, two sets x and y share |h| - less(x) - less(y) plus
     the number of common differences. A link stands once among the partners, in a block that
     meets itself under the smaller set, and counts at both its ends. Of the partners, those
-    that join parts not joined before are given again in ``joins``.
+    that join parts not joined before are given again in ``joins``. Partners are given if ``listed``.
     """
     rows: list[tuple[int, int, list[int], list[int]]] = []
     if mine.num_rows and others.num_rows:
@@ -358,7 +363,7 @@ def around_hub(percent: int, mine: pa.Table, others: pa.Table) -> pa.Table:
             joins = ids[good][first[new]]
             if len(joins):
                 label[np.isin(label, parts)] = own
-            rows.append((b, links, ids[good].tolist(), joins.tolist()))
+            rows.append((b, links, ids[good].tolist() if listed else [], joins.tolist()))
         if not alone:
             met = np.flatnonzero(counts)
             rows += [(b, c, [], []) for b, c in zip(ids[met].tolist(), counts[met].tolist())]
@@ -367,7 +372,7 @@ def around_hub(percent: int, mine: pa.Table, others: pa.Table) -> pa.Table:
     return pa.table({c: pa.array([r[k] for r in rows], t) for k, (c, t) in enumerate(kinds.items())})
 
 
-def hub_links(tried: DataFrame, percent: int) -> DataFrame:
+def hub_links(tried: DataFrame, percent: int, listed: bool) -> DataFrame:
     """Links among the sets around each hub, in blocks of about ``AROUND`` sets."""
     sizes = tried.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / AROUND).cast("int").alias("parts"))
     rows = tried.join(sizes, "a").withColumn(
@@ -377,7 +382,7 @@ def hub_links(tried: DataFrame, percent: int) -> DataFrame:
                          ).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("other"))))
     keys = ["a", "part", "other"]
     return mine.groupBy(*keys).cogroup(others.groupBy(*keys)).applyInArrow(
-        lambda x, y: around_hub(percent, x, y), LINKS)
+        lambda x, y: around_hub(percent, listed, x, y), LINKS)
 
 
 def pair_links(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -398,20 +403,23 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     ``n_links`` counts the other documents linked with a row's document, those of equal sets
     included. ``percent`` is the least Jaccard similarity of linked documents, in percent.
     """
-    return joined(docs, n, percent, id_col, text_col, buckets)[0]
+    return joined(docs, n, percent, id_col, text_col, buckets, listed=False)[0]
 
 
 def class_pairs(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
                 text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """All linked pairs ``a`` < ``b`` of classes; a class goes by its smallest id."""
-    links = joined(docs, n, percent, id_col, text_col, buckets)[1]
+    links = joined(docs, n, percent, id_col, text_col, buckets, listed=True)[1]
     pairs = links.select("class", F.explode("partners").alias("to"))
     return pairs.select(F.least("class", "to").alias("a"), F.greatest("class", "to").alias("b"))
 
 
 def joined(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str,
-           buckets: int | None) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``near_duplicates``, and the links of all classes in the form of ``LINKS``."""
+           buckets: int | None, listed: bool) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``near_duplicates``, and the links of all classes in the form of ``LINKS``.
+
+    A table is deleted as soon as what was made from it is written.
+    """
     spark = docs.sparkSession
     if buckets is None:
         buckets = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
@@ -436,10 +444,12 @@ def joined(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str,
         classes, ["set_a", "set_b", "n_shingles"]).select("doc_id", "class", "n_shingles").distinct()
     met = met.join(member, "doc_id").select("ord", "token", F.col("class").alias("doc_id"),
                                             F.col("n_shingles").alias("n")).distinct()
-    met = written(met, "met-all")
+    every = met = written(met, "met-all")
+    discard(packed)
     whole = met.groupBy("doc_id").agg(F.countDistinct("ord").alias("orders")).where(
         F.col("orders") == ORDERS).select("doc_id")
     met = written(met.join(whole, "doc_id", "left_semi"), "met")
+    discard(every)
 
     step = float(np.log(100 / percent))
     like = met.withColumn("band", F.floor(F.log("n") / F.lit(step)).cast("int"))
@@ -455,9 +465,9 @@ def joined(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str,
         "ord", "doc_id", "h.hub")
     tried = choice.groupBy("doc_id", "hub").agg(F.countDistinct("ord").alias("orders")).where(
         F.col("orders") == ORDERS).groupBy(F.col("doc_id").alias("b")).agg(F.min("hub").alias("a"))
-    tried = written(compared(tried, docs, n, percent), "tried")
+    tried = compared(tried, docs, n, percent, "tried")
     star = tried.select(F.col("b").alias("doc_id"), F.col("a").alias("hub"))
-    around = hub_links(tried.join(members.withColumnRenamed("class", "b"), "b"), percent)
+    around = hub_links(tried.join(members.withColumnRenamed("class", "b"), "b"), percent, listed)
 
     apart = met.join(star, "doc_id", "left").select(
         "ord", "token", "doc_id", "n", F.coalesce("hub", "doc_id").alias("hub"))
@@ -473,9 +483,10 @@ def joined(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str,
                    & (F.col("a.doc_id") < F.col("b.doc_id")) & new & near)
     pairs = pairs.groupBy(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).agg(
         F.countDistinct("a.ord").alias("orders")).where(F.col("orders") == ORDERS).select("a", "b")
-    rest = compared(pairs, docs, n, percent).where("linked").select("a", "b")
-    links = written(pair_links(written(tried.where("linked").select("a", "b").unionByName(rest),
-                                       "linked"), members).unionByName(around), "links")
+    rest = compared(pairs, docs, n, percent, "rest")
+    found_links = tried.where("linked").select("a", "b").unionByName(rest.where("linked").select("a", "b"))
+    links = written(pair_links(found_links, members).unionByName(around), "links")
+    discard(met, tried, rest)
     labels = components(links.select(F.col("class").alias("a"), F.explode("joins").alias("b")))
     counts = links.groupBy("class").agg(F.sum("n_links").alias("n_links"))
 
