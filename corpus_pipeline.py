@@ -7,11 +7,12 @@ stages but the last return the columns of documents; extra columns are carried a
 """
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, cuckoo, jaccard, language, mixing
 from tidemark.llm.queries import vocabulary
-from tidemark.session import written
+from tidemark.session import discard, written
 
 #: SQL has no counterpart of the language model and the tokenizer.
 ORACLE_SQL = None
@@ -43,13 +44,30 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return chosen(docs, found).dropDuplicates(["doc_id", "__mark"]).select(*docs.columns)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """Rows with a number that is the same whenever they are read.
+
+    Rows of Parquet files, as every stage gets them, go by file and place in it; other rows are
+    written first. There is one entry on the driver for each file.
+    """
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("__file"),
+                             F.col("_metadata.row_index").alias("__at"))
+    except AnalysisException:
+        return written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    names = sorted(r[0] for r in placed.select("__file").distinct().collect())
+    files = docs.sparkSession.createDataFrame(list(enumerate(names)), "__no bigint, __file string")
+    number = F.shiftleft(F.col("__no"), 40) + F.col("__at")
+    return placed.join(F.broadcast(files), "__file").select(*docs.columns, number.alias("__row"))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, on five words and a similarity of 0.8.
 
-    Every row is a node of its own by a written number. Of a group the row of the smallest id
+    Every row is a node of its own by a number. Of a group the row of the smallest id
     stays, one without id only if no row of the group has any.
     """
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    rows = numbered(docs)
     found = jaccard.near_duplicates(rows, n=5, percent=80, id_col="__row").select(
         F.col("doc_id").alias("__row"), "component_id")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").cast("bigint"),
@@ -85,6 +103,8 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each stage's rows are written to the shared folder."""
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        rows = written(stage(spark, rows, sf_dir), name)
+    for k, (name, stage) in enumerate(STAGES):
+        before, rows = rows, written(stage(spark, rows, sf_dir), name)
+        if k:
+            discard(before)
     return rows
