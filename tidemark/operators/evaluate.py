@@ -13,6 +13,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.session import written
+
 PARAMS = ("min_train", "test_size", "gap", "alpha", "model")
 
 
@@ -27,16 +29,22 @@ def with_params(df: DataFrame, *, min_train: int = 250, test_size: int = 21,
 
 
 def assign_folds(df: DataFrame, cols: Sequence[str], keys: Sequence[str],
-                 time: str) -> DataFrame:
+                 time: str, centred: Sequence[str] = ()) -> DataFrame:
     """Row number, the fold a row is tested in and the first fold it trains.
 
+    ``centred`` inputs are shifted by their mean in the series: same fit, less cancellation in
+    the sums. Numbers, counts and means come from one window.
+
     Only complete test blocks exist, and none when the series is shorter than one
     training window plus one block.
     """
     full = df.dropna(subset=[*cols, "target"])
-    group = Window.partitionBy(*keys)
-    rn = F.row_number().over(group.orderBy(time)) - 1
-    out = full.select("*", rn.alias("rn"), F.count(F.lit(1)).over(group).alias("n_rows"))
+    order = Window.partitionBy(*keys).orderBy(time)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rn = F.row_number().over(order) - 1
+    kept = [c for c in full.columns if c not in centred]
+    out = full.select(*kept, *[(F.col(c) - F.avg(c).over(whole)).alias(c) for c in centred], rn.alias("rn"),
+                      F.count(F.lit(1)).over(whole).alias("n_rows"))
     blocks = F.floor((F.col("n_rows") - F.col("min_train")) / F.col("test_size"))
     block = F.floor((F.col("rn") - F.col("min_train")) / F.col("test_size"))
     first = F.ceil((F.col("rn") + 1 - (F.col("min_train") - F.col("gap"))) / F.col("test_size"))
@@ -64,32 +72,34 @@ def fold_bounds(assigned: DataFrame, keys: Sequence[str], time: str) -> DataFram
     return tested.join(trained, [*keys, "fold"])
 
 
-def _solve(rows: pd.DataFrame, p: int) -> list[list[float]]:
-    """Coefficients on the (centred) inputs for each fold: intercept, then one per column."""
-    out = []
+def _solve(rows: pd.DataFrame, p: int) -> np.ndarray:
+    """Intercept and weights of every row at once: (row, 1 + p).
+
+    The Gram matrices of a batch are one (row, p, p) array. An unused input has the identity's
+    row in it, so its weight is zero.
+    """
+    stack = lambda name: np.array(rows[name].tolist(), float).reshape(len(rows), -1)
+    n, sy = rows["n"].to_numpy(float)[:, None], rows["sy"].to_numpy(float)[:, None]
+    mean = stack("sx") / n
     upper = np.triu_indices(p)
-    for r in rows.itertuples(index=False):
-        sx, sxy = np.asarray(r.sx, float), np.asarray(r.sxy, float)
-        gram = np.zeros((p, p))
-        gram[upper] = np.asarray(r.sxx, float)
-        gram = gram + np.triu(gram, 1).T
-        used = np.asarray(r.used, bool)
-        mean = sx / r.n
-        spread = np.sqrt(np.maximum(np.diag(gram) / r.n - mean ** 2, 0.0))
-        spread = np.where(spread <= 1e-12 * np.maximum(np.abs(mean), 1e-300), 1.0, spread)
-        cov = (gram - r.n * np.outer(mean, mean)) / np.outer(spread, spread)
-        side = (sxy - mean * r.sy) / spread
-        cov, side = cov[np.ix_(used, used)], side[used]
-        if r.model == "ridge":
-            cov = cov + r.alpha * np.eye(len(side))
-        try:
-            beta = np.linalg.solve(cov, side)
-        except np.linalg.LinAlgError:
-            beta = np.linalg.lstsq(cov, side, rcond=None)[0]
-        weights = np.zeros(p)
-        weights[used] = beta / spread[used]
-        out.append([float(r.sy / r.n - weights @ mean), *map(float, weights)])
-    return out
+    gram = np.zeros((len(rows), p, p))
+    gram[:, *upper] = stack("sxx")
+    gram = gram + np.triu(gram, 1).transpose(0, 2, 1)
+    spread = np.sqrt(np.maximum(np.diagonal(gram, axis1=1, axis2=2) / n - mean ** 2, 0.0))
+    spread = np.where(spread <= 1e-12 * np.maximum(np.abs(mean), 1e-300), 1.0, spread)
+    cov = (gram - n[:, :, None] * mean[:, :, None] * mean[:, None, :]) / (spread[:, :, None] * spread[:, None, :])
+    side = (stack("sxy") - mean * sy) / spread
+    used = np.array(rows["used"].tolist(), bool).reshape(len(rows), p)
+    both = used[:, :, None] & used[:, None, :]
+    ridge = np.where(rows["model"].to_numpy() == "ridge", rows["alpha"].to_numpy(float), 0.0)
+    cov = np.where(both, cov, 0.0) + np.eye(p) * np.where(used, ridge[:, None], 1.0)[:, None, :]
+    side = np.where(used, side, 0.0)[:, :, None]
+    try:
+        beta = np.linalg.solve(cov, side)
+    except np.linalg.LinAlgError:
+        beta = np.linalg.pinv(cov, hermitian=True) @ side
+    weights = beta[:, :, 0] / spread
+    return np.hstack([sy / n - (weights * mean).sum(axis=1, keepdims=True), weights])
 
 
 def fit_folds(assigned: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -118,7 +128,7 @@ def fit_folds(assigned: DataFrame, cols: Sequence[str], keys: Sequence[str]) ->
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch[[*keys, "fold"]].assign(beta=_solve(batch, p))
+            yield batch[[*keys, "fold"]].assign(beta=list(_solve(batch, p)))
 
     kinds = dict(packed.dtypes)
     schema = ", ".join(f"`{k}` {kinds[k]}" for k in (*keys, "fold")) + ", beta array<double>"
@@ -135,21 +145,16 @@ def predict(assigned: DataFrame, betas: DataFrame, cols: Sequence[str],
                         score.alias("predicted"))
 
 
-def _centre(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Inputs shifted by a per-series constant: same fit, less cancellation in the sums."""
-    group = Window.partitionBy(*keys)
-    return df.withColumns({c: F.col(c) - F.avg(c).over(group) for c in cols})
-
-
 def walk_forward(features: DataFrame, cols: Sequence[str], *,
                  keys: Sequence[str] = ("exchange", "symbol"),
                  time: str = "trade_date") -> DataFrame:
     """Out-of-sample predictions of every complete fold.
 
     ``features`` carries the settings of :func:`with_params` as columns. Series are
-    daily, so one has a bounded number of rows.
+    daily, so one has a bounded number of rows. The numbered rows are stored: they are fitted and
+    predicted, and the features behind them are dear.
     """
-    assigned = _centre(assign_folds(features, cols, keys, time), cols, keys)
+    assigned = written(assign_folds(features, cols, keys, time, centred=cols), "folds")
     return predict(assigned, fit_folds(assigned, cols, keys), cols, keys, time)
 
 

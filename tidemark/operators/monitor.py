@@ -5,7 +5,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.times import SECOND, from_micros, micros
+from tidemark.functions.times import SECOND, from_micros, instant, micros
 from tidemark.operators.calendar import TradingCalendar
 
 
@@ -91,18 +91,33 @@ def timeliness_events(arrivals: DataFrame) -> DataFrame:
                            grade.alias("status"))
 
 
-def backfill_plan(calendar: DataFrame, loaded_days: DataFrame, newest=None) -> DataFrame:
-    """Trading days not loaded yet, oldest first; closed days never appear."""
+def backfill_plan(calendar: DataFrame, loaded: DataFrame, newest=None,
+                  symbols: Sequence[str] | None = None) -> DataFrame:
+    """Trading days not loaded yet; closed days never appear. With ``symbols``, one row for each
+    day and symbol that is missing."""
     days = calendar.where("is_trading_day").select("day")
     if newest is not None:
         days = days.where(F.col("day") <= F.lit(str(newest)[:10]).cast("date"))
-    return days.join(loaded_days.select("day").distinct(), "day", "left_anti")
+    if symbols is None:
+        return days.join(loaded.select("day").distinct(), "day", "left_anti")
+    return expected_pairs(days, symbols).join(loaded.select("day", "symbol").distinct(), ["day", "symbol"], "left_anti")
 
 
-def backfill_report(calendar: DataFrame, arrivals: DataFrame) -> DataFrame:
-    """Every day of a range: fetched, or skipped with the reason."""
+#: Why a day was skipped (fixed values; logs are read by them).
+IN_FUTURE, NOT_YET, NOTHING = "in the future", "not published yet", "nothing published"
+
+
+def backfill_report(calendar: DataFrame, arrivals: DataFrame, cal: TradingCalendar | None = None,
+                    now=None) -> DataFrame:
+    """Every day of a range: fetched, or skipped with the reason.
+
+    With a calendar and a clock, a day after today in the exchange's zone is in the future, whatever
+    its weekday, and a trading day whose deadline and grace have not passed is not published yet.
+    """
     joined = calendar.join(arrivals.groupBy("day").agg(F.sum("rows").alias("rows")), "day", "left")
-    outcome = F.when(F.col("why_closed").isNotNull(), F.col("why_closed")).when(
-        F.col("rows").isNull(), "nothing published").otherwise("fetched")
-    return joined.select("day", outcome.alias("outcome"),
-                         F.when(F.col("why_closed").isNull(), F.col("rows")).alias("rows"))
+    why = F.col("why_closed")
+    if now is not None:
+        early = F.when(~cal.is_overdue("day", now), F.concat(F.lit(f"{NOT_YET}, due "), F.lit(cal.deadline)))
+        why = F.when(F.col("day") > cal.local_day(instant(now)), IN_FUTURE).otherwise(F.coalesce(why, early))
+    outcome = F.coalesce(why, F.when(F.col("rows").isNull(), NOTHING).otherwise("fetched"))
+    return joined.select("day", outcome.alias("outcome"), F.when(why.isNull(), F.col("rows")).alias("rows"))

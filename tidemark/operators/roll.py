@@ -173,12 +173,24 @@ def returns_compared(series: DataFrame, price: str = "close") -> DataFrame:
     ).withColumn("artefact", F.col("raw_ret") - F.col("adj_ret"))
 
 
-def fingerprint(series: DataFrame) -> DataFrame:
-    """Rows, date range and a hash of the ordered closes, per symbol (one row per day)."""
-    closes = F.transform(
-        F.sort_array(F.collect_list(F.struct("trade_date", F.round("adj_close", 6).alias("c")))),
-        lambda r: r["c"].cast("string"))
-    return series.groupBy(*GROUP).agg(
-        F.count(F.lit(1)).alias("rows"), F.min("trade_date").alias("first_date"),
-        F.max("trade_date").alias("last_date"),
-        F.sha2(F.concat_ws("|", closes), 256).alias("series_sha"))
+def fingerprint(series: DataFrame, column: str = "adj_close", decimals: int = 6) -> DataFrame:
+    """Rows, date range and a digest per symbol (one row per day).
+
+    A month's digest is the SHA-256 of its lines ``day:value`` in order of days, the value scaled to
+    a whole number; the series' digest is that of the digests of its months, a line each. No
+    series is gathered in one place.
+    """
+    value = F.coalesce(F.round(F.col(column) * 10 ** decimals).cast("bigint").cast("string"), F.lit("null"))
+    lines = series.select(*GROUP, "trade_date", F.date_trunc("month", "trade_date").alias("_month"), F.concat_ws(
+        ":", F.col("trade_date").cast("string"), value).alias("_line"))
+
+    def digest(order: str, text: str):
+        rows = F.sort_array(F.collect_list(F.struct(order, text)))
+        return F.sha2(F.concat_ws("\n", F.transform(rows, lambda r: r[text])), 256)
+
+    months = lines.groupBy(*GROUP, "_month").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("trade_date").alias("_first"), F.max("trade_date").alias("_last"),
+        digest("trade_date", "_line").alias("_digest"))
+    return months.groupBy(*GROUP).agg(
+        F.sum("_rows").alias("rows"), F.min("_first").alias("first_date"), F.max("_last").alias("last_date"),
+        digest("_month", "_digest").alias("series_sha"))

@@ -151,6 +151,62 @@ def m12(spark, sf):
     return predictions(spark, sf)
 
 
+#: Training sums of a fold: every row before its test block but the last four.
+TRAINED = f"""{ASSIGNED}, ends AS (SELECT DISTINCT exchange, symbol, fold FROM tests),
+ tr AS (SELECT e.fold, n.* EXCLUDE (fold) FROM ends e JOIN (SELECT *, 0 AS fold FROM num) n
+    ON n.exchange = e.exchange AND n.symbol = e.symbol AND n.rn < 250 + e.fold * 21 - 4)"""
+TWO = ("ret_5", "vol_20")
+
+
+@query("m11_two_inputs", f"""{TRAINED}, s AS (SELECT symbol, fold, count(*) AS n, avg(ret_5) AS m1, avg(vol_20) AS m2,
+    avg(target) AS my, stddev_pop(ret_5) AS s1, stddev_pop(vol_20) AS s2, covar_pop(ret_5, vol_20) AS c,
+    covar_pop(ret_5, target) AS y1, covar_pop(vol_20, target) AS y2 FROM tr GROUP BY symbol, fold),
+  z AS (SELECT *, n + 1.0 AS d, n * c / (s1 * s2) AS o, n * y1 / s1 AS b1, n * y2 / s2 AS b2 FROM s),
+  w AS (SELECT *, (d * b1 - o * b2) / (d * d - o * o) / s1 AS w1, (d * b2 - o * b1) / (d * d - o * o) / s2 AS w2 FROM z)
+  SELECT symbol, fold, round(my - w1 * m1 - w2 * m2, 8) AS intercept, round(w1, 8) AS w1, round(w2, 8) AS w2 FROM w""")
+def m11b(spark, sf):
+    """Ridge on two inputs, which has a closed form."""
+    feats = E.with_params(X.make_features(series(spark, sf), horizon=5), horizon=5)
+    rows = E.assign_folds(feats, X.DEFAULT_FEATURES, KEYS, "trade_date")
+    beta = lambda i, name: F.round(F.col("beta")[i], 8).alias(name)
+    return E.fit_folds(rows, TWO, KEYS).select("symbol", "fold", beta(0, "intercept"), beta(1, "w1"), beta(2, "w2"))
+
+
+def one_input(spark, sf):
+    """Least squares on the last five days' return, every scenario the same rows."""
+    feats = E.with_params(X.make_features(series(spark, sf), horizon=5), horizon=5, model="ols")
+    return E.walk_forward(feats.dropna(subset=[*X.DEFAULT_FEATURES]), ["ret_5"], keys=KEYS)
+
+
+OLS = f"""{TRAINED}, fit AS (SELECT symbol, fold, regr_slope(target, ret_5) AS b, regr_intercept(target, ret_5) AS a
+    FROM tr GROUP BY symbol, fold),
+ pr AS (SELECT t.symbol, t.fold, t.trade_date, t.target AS actual, f.a + f.b * t.ret_5 AS predicted
+    FROM tests t JOIN fit f USING (symbol, fold))"""
+
+
+@query("m12_one_input", f"""{OLS} SELECT symbol, fold, trade_date, round(actual, 8) AS actual,
+  round(predicted, 7) AS predicted FROM pr""")
+def m12b(spark, sf):
+    return one_input(spark, sf).select("symbol", "fold", "trade_date", F.round("actual", 8).alias("actual"),
+                                       F.round("predicted", 7).alias("predicted"))
+
+
+@query("m14_one_input", f"""{OLS}, fo AS (SELECT symbol, fold, count(*) AS n_test,
+    sqrt(avg((actual - predicted) * (actual - predicted))) AS m, sqrt(avg(actual * actual)) AS b FROM pr GROUP BY ALL)
+  SELECT symbol, count(*) AS folds, round(avg(m), 7) AS model_rmse, round(avg(b), 7) AS baseline_rmse,
+    round(avg(1 - m / b), 6) AS skill_vs_baseline, count(*) FILTER (1 - m / b > 0) AS folds_beating_baseline,
+    CASE WHEN avg(1 - m / b) > 0 THEN 'beats no-change on average, '
+      WHEN count(*) FILTER (1 - m / b > 0) * 2 < count(*) THEN 'does not beat no-change, nor do most folds: '
+      ELSE 'does not beat no-change on average, though ' END || count(*) FILTER (1 - m / b > 0) || ' of '
+      || count(*) || ' folds' || CASE WHEN avg(1 - m / b) <= 0 AND count(*) FILTER (1 - m / b > 0) * 2 >= count(*)
+      THEN ' do' ELSE '' END AS verdict FROM fo GROUP BY symbol""")
+def m14b(spark, sf):
+    out = E.summarise(E.fold_table(one_input(spark, sf), KEYS), KEYS)
+    return out.select("symbol", "folds", F.round("model_rmse", 7).alias("model_rmse"),
+                      F.round("baseline_rmse", 7).alias("baseline_rmse"),
+                      F.round("skill_vs_baseline", 6).alias("skill_vs_baseline"), "folds_beating_baseline", "verdict")
+
+
 @query("m13_baseline", f"""{ASSIGNED} SELECT symbol, fold, round(sqrt(avg(target * target)), 7)
     AS baseline_rmse, 0.5::DOUBLE AS baseline_dir_acc FROM tests GROUP BY symbol, fold""")
 def m13(spark, sf):
@@ -199,10 +255,15 @@ def m14(spark, sf):
 
 
 @query("o2_skill_distribution", f"""{NAIVE} SELECT symbol, CAST(floor(skill * 20) AS BIGINT) AS bin,
-  count(*) AS folds FROM sk GROUP BY ALL""")
+  count(*) AS folds, count(*) FILTER (skill > 0) AS beating, any_value(mean_skill) AS mean_skill
+  FROM sk JOIN (SELECT symbol, round(avg(skill), 7) AS mean_skill FROM sk GROUP BY symbol) USING (symbol)
+  GROUP BY symbol, bin""")
 def o2(spark, sf):
-    return naive(spark, sf).groupBy(
-        "symbol", F.floor(F.col("skill") * 20).alias("bin")).agg(F.count(F.lit(1)).alias("folds"))
+    """Bins of the skill with the folds that beat the baseline, and the mean of the series beside them."""
+    folds = naive(spark, sf)
+    mean = folds.groupBy("symbol").agg(F.round(F.avg("skill"), 7).alias("mean_skill"))
+    return folds.groupBy("symbol", F.floor(F.col("skill") * 20).alias("bin")).agg(
+        F.count(F.lit(1)).alias("folds"), F.count_if(F.col("skill") > 0).alias("beating")).join(mean, "symbol")
 
 
 @query("m15_recipe_scenarios")
@@ -218,24 +279,38 @@ def m16(spark, sf):
     return P.run_recipe(series(spark, sf), P.SAMPLE)
 
 
-RANKED = f"""{NAIVE}, agg AS (SELECT symbol, avg(skill) AS skill_vs_baseline, count(*) AS folds
-  FROM sk GROUP BY symbol)"""
+#: Three naive scenarios: the return of so many days is the forecast, over all series.
+FORECASTS = ("ret_1", "ret_5", "mom_10")
+RANKED = f"""{ASSIGNED}, sc AS (SELECT scenario, exchange, symbol, fold, target AS a, p FROM tests
+    UNPIVOT (p FOR scenario IN ({", ".join(FORECASTS)}))),
+ fo AS (SELECT scenario, symbol, fold, 1 - sqrt(avg((a - p) * (a - p))) / sqrt(avg(a * a)) AS skill
+    FROM sc GROUP BY ALL),
+ agg AS (SELECT scenario, count(*) AS folds, avg(skill) AS skill_vs_baseline,
+    count(*) FILTER (skill > 0) AS folds_beating_baseline FROM fo GROUP BY scenario)"""
+
+
+def scenarios(spark, sf):
+    rows = assigned(spark, sf).where("fold IS NOT NULL")
+    stacked = F.explode(F.array(*[F.struct(F.lit(f).alias("scenario"), F.col(f).alias("predicted")) for f in FORECASTS]))
+    frame = rows.select(*KEYS, "fold", F.col("target").alias("actual"), stacked.alias("s")).select(
+        "*", "s.scenario", "s.predicted")
+    return E.summarise(E.fold_table(frame, [*KEYS, "scenario"]), ["scenario"])
 
 
-@query("h4_scenario_ranking", f"""{RANKED} SELECT symbol, folds,
+@query("h4_scenario_ranking", f"""{RANKED} SELECT scenario, folds, folds_beating_baseline,
   round(skill_vs_baseline, 7) AS skill_vs_baseline,
-  row_number() OVER (ORDER BY skill_vs_baseline DESC NULLS LAST) AS place FROM agg""")
+  row_number() OVER (ORDER BY skill_vs_baseline DESC NULLS LAST, scenario) AS place FROM agg""")
 def h4(spark, sf):
-    out = P.comparison_table(E.summarise(naive(spark, sf), KEYS), extra=["symbol"])
-    return P.with_place(out).select("symbol", "folds", F.round("skill_vs_baseline", 7).alias(
+    out = P.with_place(P.comparison_table(scenarios(spark, sf)))
+    return out.select("scenario", "folds", "folds_beating_baseline", F.round("skill_vs_baseline", 7).alias(
         "skill_vs_baseline"), F.col("place").cast("bigint").alias("place"))
 
 
-@query("h8_best_scenario", f"""{RANKED} SELECT arg_max(symbol, skill_vs_baseline) AS symbol,
+@query("h8_best_scenario", f"""{RANKED} SELECT arg_max(scenario, skill_vs_baseline) AS scenario,
   round(max(skill_vs_baseline), 7) AS skill_vs_baseline FROM agg""")
 def h8(spark, sf):
-    best = P.best(E.summarise(naive(spark, sf), KEYS), ["symbol"])
-    return best.select("symbol", F.round("skill_vs_baseline", 7).alias("skill_vs_baseline"))
+    best = P.best(scenarios(spark, sf), ["scenario", "verdict"])
+    return best.select("scenario", F.round("skill_vs_baseline", 7).alias("skill_vs_baseline"))
 
 
 @query("j16_membership", """SELECT event_id, event_type FROM events WHERE event_type IN (

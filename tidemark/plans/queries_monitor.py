@@ -97,20 +97,24 @@ def k13b(spark, sf):
 
 
 @query("s11_backfill_report", f"""WITH {HOLED}, {calendar_sql()}, f AS (
-  SELECT trade_date AS day, count(*) AS rows FROM h GROUP BY 1)
-  SELECT c.day, coalesce(why_closed, CASE WHEN rows IS NULL THEN 'nothing published'
-    ELSE 'fetched' END) AS outcome, CASE WHEN why_closed IS NULL THEN rows END AS rows
-  FROM v_calendar c LEFT JOIN f USING (day)""")
+  SELECT trade_date AS day, count(*) AS rows FROM h GROUP BY 1),
+  w AS (SELECT day, rows, CASE WHEN day > DATE '2001-10-10' THEN 'in the future'
+    WHEN why_closed IS NOT NULL THEN why_closed
+    WHEN day = DATE '2001-10-10' THEN 'not published yet, due {CAL.deadline}' END AS why
+    FROM v_calendar c LEFT JOIN f USING (day))
+  SELECT day, coalesce(why, CASE WHEN rows IS NULL THEN 'nothing published' ELSE 'fetched' END) AS outcome,
+    CASE WHEN why IS NULL THEN rows END AS rows FROM w""")
 def s11(spark, sf):
-    return M.backfill_report(sample_calendar(spark, sf), M.arrivals_per_day(holed_eod(spark, sf)))
+    return M.backfill_report(sample_calendar(spark, sf), M.arrivals_per_day(holed_eod(spark, sf)), CAL,
+                             "2001-10-10 08:00:00")
 
 
-@query("s12_backfill_plan", f"""WITH {HOLED}, {calendar_sql()} SELECT day FROM v_calendar
-  WHERE is_trading_day AND day <= DATE '2001-01-31'
-    AND day NOT IN (SELECT trade_date FROM h WHERE symbol = 'N')""")
+@query("s12_backfill_plan", f"""WITH {HOLED}, {calendar_sql()} SELECT c.day, s.symbol FROM v_calendar c
+  CROSS JOIN (VALUES ('A'), ('N'), ('R')) s(symbol) ANTI JOIN h ON h.trade_date = c.day AND h.symbol = s.symbol
+  WHERE c.is_trading_day AND c.day <= DATE '2001-01-31'""")
 def s12(spark, sf):
-    loaded = holed_eod(spark, sf).where("symbol = 'N'").select(F.col("trade_date").alias("day"))
-    return M.backfill_plan(sample_calendar(spark, sf), loaded, "2001-01-31")
+    loaded = holed_eod(spark, sf).select(F.col("trade_date").alias("day"), "symbol")
+    return M.backfill_plan(sample_calendar(spark, sf), loaded, "2001-01-31", WANTED).select("day", "symbol")
 
 
 # ---- cursors -----------------------------------------------------------------------

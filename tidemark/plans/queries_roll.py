@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import bars as B
 from tidemark.operators import roll as R
 from tidemark.operators import versions as V
+from tidemark.plans import reference as ref
 from tidemark.plans.registry import query
+from tidemark.session import scratch_dir
 from tidemark.plans.serve import EOD_GRAIN
 from tidemark.sources import samples as S
 
@@ -190,13 +192,16 @@ def o1(spark, sf):
     return out.select("symbol", "trade_date", "is_roll", F.round("artefact", 7).alias("artefact"))
 
 
-@query("a17_series_fingerprint", f"""{FULL} SELECT exchange, symbol, count(*) AS rows,
-  min(trade_date) AS first_date, max(trade_date) AS last_date, 64 AS sha_chars
-  FROM cont GROUP BY exchange, symbol""")
+DIGEST = f"""{FULL}, mo AS (SELECT exchange, symbol, date_trunc('month', trade_date) AS month, count(*) AS n,
+    min(trade_date) AS a, max(trade_date) AS b, sha256(string_agg(CAST(trade_date AS VARCHAR) || ':' ||
+    CAST(CAST(round(close * 1000000) AS BIGINT) AS VARCHAR), chr(10) ORDER BY trade_date)) AS d FROM cont GROUP BY ALL),
+ pin AS (SELECT exchange, symbol, sum(n)::BIGINT AS rows, min(a) AS first_date, max(b) AS last_date,
+    sha256(string_agg(d, chr(10) ORDER BY month)) AS series_sha FROM mo GROUP BY exchange, symbol)"""
+
+
+@query("a17_series_fingerprint", f"{DIGEST} SELECT * FROM pin")
 def a17(spark, sf):
-    out = R.fingerprint(R.continuous_series(S.eod(spark, sf)))
-    return out.select("exchange", "symbol", "rows", "first_date", "last_date",
-                      F.length("series_sha").alias("sha_chars"))
+    return R.fingerprint(R.continuous_series(S.eod(spark, sf)), "close")
 
 
 # ---- versioned map -----------------------------------------------------------------
@@ -241,9 +246,12 @@ def j14(spark, sf):
 
 @query("r1_map_refresh", f"{MAPS} SELECT * FROM mapped")
 def r1(spark, sf):
-    first, chosen = restated(spark, sf)
-    return V.refresh_map(chosen, first, today=TODAY).select(
-        "exchange", "symbol", "trade_date", "expiry", "known_from", "known_to")
+    """Three refreshes of the stored map, the last of them a repeated run; read back as one table."""
+    root = scratch_dir(spark, "reference")
+    latest = B.latest_per_grain(S.eod_corrected(spark, sf), EOD_GRAIN)
+    for bars, today, run in ((S.eod(spark, sf), KNOWN, "a"), (latest, TODAY, "b"), (latest, TODAY, "b")):
+        ref.refresh(spark, root, R.front_month_map(bars), today=today, run_id=run)
+    return ref.stored_map(spark, root).select("exchange", "symbol", "trade_date", "expiry", "known_from", "known_to")
 
 
 @query("r1_refresh_counts", f"""{MAPS} SELECT count(*) FILTER (state <> 'unchanged') AS opened,
@@ -300,7 +308,15 @@ def specs(spark, sf):
 
 @query("r2_versioned_specs", f"WITH {V_SPECS} SELECT * FROM v_specs")
 def r2(spark, sf):
-    return specs(spark, sf)
+    """Specifications as a configuration names them, loaded twice and read back."""
+    root = scratch_dir(spark, "specs")
+    raw: dict = {}
+    for r in specs(spark, sf).collect():        # two versions for each of three symbols
+        raw.setdefault(r["exchange"], {}).setdefault(r["symbol"], []).append(
+            {"lot_size": r["lot_size"], "tick_size": 1, "known_from": r["known_from"], "known_to": r["known_to"]})
+    ref.load_specs(spark, root, {"SIM": {"N": raw["SIM"]["N"][:1]}}, run_id="early")
+    ref.load_specs(spark, root, raw, run_id="whole")
+    return ref.stored_specs(spark, root).select("exchange", "symbol", "lot_size", "known_from", "known_to")
 
 
 @query("j11_valid_as_of", f"""WITH {S.V_EOD}, {V_SPECS} SELECT e.exchange, e.symbol, e.expiry,

@@ -8,6 +8,7 @@ from tidemark.operators import deliveries as D
 from tidemark.plans import delivery as L
 from tidemark.plans import ingest as G
 from tidemark.plans import queries_model as QM
+from tidemark.plans import queries_roll as QR
 from tidemark.plans import recipes as P
 from tidemark.plans import runs
 from tidemark.plans.queries_gate import RAW, TRADES
@@ -124,21 +125,42 @@ def w5(spark, sf):
         "rows_restored", F.lit(out["rows_restored"]).cast("bigint"))
 
 
-@query("w6_run_artifacts")
-def w6(spark, sf):
-    root = scratch_dir(spark, "artifacts")
-    preds = QM.predictions(spark, sf).withColumn("run_id", F.concat(F.lit("run-"), "symbol"))
-    runs.save_artifacts(root, predictions=preds)
-    return runs.load_artifact(spark, root, "predictions").groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("fold").alias("folds"))
+PINNED = P.Recipe("five_days", "1", {"target.horizon_days": 5},
+                  {"baseline": {}, "stronger_penalty": {"estimator.alpha": 25.0}})
+RUNS = f"""{QM.ASSIGNED}, runs AS (SELECT 'five_days.1.' || exchange || '.' || symbol || '.' || s.scenario AS run_id, *
+  FROM tests, (VALUES ('baseline'), ('stronger_penalty')) s(scenario))"""
+
 
+def pinned_runs(spark, sf):
+    root = scratch_dir(spark, "runs")
+    for _ in range(2):
+        registry = runs.run_pinned(QM.series(spark, sf), PINNED, root, started=S.NOW, finished=S.NOW, pinned="close")
+    return root, registry
 
-@query("w7_run_registry")
+
+@query("w6_run_artifacts", f"""{RUNS} SELECT run_id, count(*) AS rows, count(DISTINCT fold) AS folds,
+  round(sum(target), 6) AS actual FROM runs GROUP BY run_id""")
+def w6(spark, sf):
+    """Runs of two scenarios, made twice, read back by their ids."""
+    root, registry = pinned_runs(spark, sf)
+    return runs.load_artifact(spark, root, "predictions").join(registry.select("run_id"), "run_id").groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("fold").alias("folds"),
+        F.round(F.sum("actual"), 6).alias("actual"))
+
+
+@query("w7_run_registry", f"""{RUNS}{QR.DIGEST[QR.DIGEST.index(", mo AS"):]},
+  d AS (SELECT DISTINCT run_id, exchange, symbol, scenario FROM runs)
+  SELECT run_id, 'five_days:' || scenario AS model, last_date AS data_through, series_sha AS fingerprint,
+    rows AS input_rows, CASE scenario WHEN 'baseline' THEN '1.0' ELSE '25.0' END AS alpha,
+    (SELECT count(DISTINCT fold) FROM runs r WHERE r.run_id = d.run_id) AS folds
+  FROM d JOIN pin USING (exchange, symbol)""")
 def w7(spark, sf):
-    results = P.run_recipe(QM.series(spark, sf), P.SAMPLE, scenarios=["baseline", "price_only"])
-    return runs.run_rows(results, {"recipe": P.SAMPLE.name, "version": P.SAMPLE.version},
-                         model=P.SAMPLE.name, data_through="2001-11-04", started=S.NOW,
-                         finished=S.NOW)
+    field = lambda c, path: F.get_json_object(c, path)
+    return pinned_runs(spark, sf)[1].select(
+        "run_id", "model", "data_through", field("params", "$.fingerprint").alias("fingerprint"),
+        field("params", "$.input_rows").cast("bigint").alias("input_rows"),
+        field(field("params", "$.settings"), "$['estimator.alpha']").alias("alpha"),
+        field("metrics", "$.folds").cast("bigint").alias("folds"))
 
 
 @query("w8_retention_report", """SELECT 'symbol=' || event_type AS folder, 1::BIGINT AS files,

@@ -121,7 +121,7 @@ def comparison_table(results: DataFrame, extra: Sequence[str] = ()) -> DataFrame
 def with_place(results: DataFrame) -> DataFrame:
     """Place of each row; results hold one row per scenario, so one ordered pass is enough."""
     return results.withColumn("place", F.row_number().over(
-        Window.orderBy(F.desc_nulls_last("skill_vs_baseline"))))
+        Window.orderBy(F.desc_nulls_last("skill_vs_baseline"), "scenario")))
 
 
 def best(results: DataFrame, columns: Sequence[str] = ("scenario", "verdict")) -> DataFrame:
