@@ -33,6 +33,8 @@ from tidemark.llm.words import LOWER, chunks, text_bytes
 from tidemark.session import written
 
 SAMPLE = 2_000
+#: Texts are looked at in pieces of about this size.
+SCORED_BYTES = 1 << 19
 #: Steps of the hash by which rows are sampled.
 PLACES = 1 << 30
 BINS = 1 << 14
@@ -96,10 +98,12 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             body, offsets = text_bytes(batch.column(1))
-            bins, first, _ = trigrams(body, offsets)
-            for lang, lo, hi in zip(batch.column(0).to_pylist(), first[:-1], first[1:]):
-                sums.setdefault(lang, np.zeros(BINS, np.int64))
-                sums[lang] += np.bincount(bins[lo:hi], minlength=BINS)
+            langs = batch.column(0).to_pylist()
+            for i, j in chunks(offsets, SCORED_BYTES):
+                bins, first, _ = trigrams(body[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                for lang, lo, hi in zip(langs[i:j], first[:-1], first[1:]):
+                    sums.setdefault(lang, np.zeros(BINS, np.int64))
+                    sums[lang] += np.bincount(bins[lo:hi], minlength=BINS)
         for lang, counts in sums.items():
             some = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
@@ -127,14 +131,15 @@ def text_scores(docs: DataFrame, model: TextModel) -> DataFrame:
         for batch in batches:
             body, offsets = text_bytes(batch.column(0))
             scores, sizes, letters = [], [], []
-            for i, j in chunks(offsets):
+            for i, j in chunks(offsets, SCORED_BYTES):
                 bins, first, held = trigrams(body[offsets[i]:offsets[j]],
                                              offsets[i:j + 1] - offsets[i])
                 n = np.diff(first)
-                sums = [np.concatenate([[0.0], np.cumsum(row[bins], dtype=np.float64)])
-                        for row in model.table]
-                scores.append(np.array([(s[first[1:]] - s[first[:-1]]) / np.maximum(n, 1)
-                                        for s in sums]).reshape(len(sums), j - i).T)
+                each = np.empty((j - i, len(model.table)))
+                for k, row in enumerate(model.table):      # one running sum at a time
+                    run = np.concatenate([[0.0], np.cumsum(row[bins], dtype=np.float64)])
+                    each[:, k] = (run[first[1:]] - run[first[:-1]]) / np.maximum(n, 1)
+                scores.append(each)
                 sizes.append(n)
                 letters.append(held)
             yield pa.RecordBatch.from_arrays(
