@@ -50,7 +50,7 @@ def notional(facts: DataFrame, specs: DataFrame, *, day: str = "trade_date",
     value = F.col(price) * F.col("lot_size") * F.col(lots)
     if on_missing == "error":
         value = F.when(F.col("lot_size").isNull(), F.raise_error(F.concat(
-            F.lit("no contract specification for "), F.col("exchange"), F.lit(":"),
+            F.lit("lot size unknown: "), F.col("exchange"), F.lit(":"),
             F.col("symbol"), F.lit(" on "), F.col(day).cast("string")))).otherwise(value)
     return keyed.withColumn("notional", value)
 

