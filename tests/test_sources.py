@@ -1,6 +1,7 @@
 """Drops, configuration, ledger, alert names and calendars."""
 import hashlib
 import json
+import os
 from datetime import date
 
 import pytest
@@ -12,6 +13,8 @@ from tidemark.plans import config
 from tidemark.plans import recipes as P
 from tidemark.sources import drops, landing
 
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def test_drops_by_suffix(spark, tmp_path):
     df = spark.createDataFrame([("1.5", "a"), ("x", "b")], "Close string, Symbol string")
@@ -127,3 +130,36 @@ def test_first_arrival_prefers_dated_copies(spark):
 
     df = spark.sql("SELECT * FROM VALUES ('a', 1, NULL), ('a', 2, 5), ('b', 3, NULL) AS t(k, v, o)")
     assert {r["k"]: r["v"] for r in latest_by(df, ["k"], "o").collect()} == {"a": 2, "b": 3}
+
+
+def test_a_session_without_a_named_folder(tmp_path):
+    """Stages and scratch tables work where nothing names a checkpoint folder, and go when discarded."""
+    import subprocess
+    import sys
+
+    code = """
+import os, tempfile
+tempfile.tempdir = None
+from pyspark.sql import functions as F
+from tidemark.session import build_session, discard, shared_root, written
+from tidemark.operators.asof import asof_join
+spark = build_session("bare", "local[2]", 2, **{"spark.ui.enabled": "false"})
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+root = shared_root(spark)
+assert root == shared_root(spark)
+table = written(spark.range(5), "t")
+assert table.count() == 5
+discard(table)
+kept = root.split(":", 1)[-1]
+assert not [n for n in os.listdir(kept) if n.startswith("t-")]
+t = spark.sql("SELECT 'v' venue, 's' symbol, 1L trade_id, timestamp_ntz'2026-01-01' ts, 5.0D price")
+q = spark.sql("SELECT 'v' venue, 's' symbol, timestamp_ntz'2026-01-02' query_ts")
+assert asof_join(q, t).first()["price"] == 5.0
+print("done")
+"""
+    conf = tmp_path / "conf"
+    conf.mkdir()
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("SPARK_", "PYSPARK_SUBMIT"))}
+    env |= {"SPARK_CONF_DIR": str(conf), "PYTHONPATH": f"{REPO}:{env.get('PYTHONPATH', '')}"}
+    ran = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert ran.stdout.strip().endswith("done"), ran.stderr[-2000:]
