@@ -7,8 +7,8 @@ each text is put together from its word numbers by position. Decoding looks the
 the table of pieces, whose size is the vocabulary's.
 
 Two kinds of rows are shuffled: packed words per block and bucket, and packed word numbers
-per block. Both passes over the texts cut the same blocks; a block whose answers do not fit
-its words stops the job. Within one block two words count as one if their 64-bit hashes are
+per block. Both passes over the texts cut the same blocks; the answers carry a digest of the
+words that were asked for, in their order, and a block with other words stops the job. Within one block two words count as one if their 64-bit hashes are
 equal.
 
 Rows: a null text is encoded as an empty one, to no ids. Repeated rows are encoded each,
@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.taskcontext import TaskContext
 
 from tidemark.llm.blocks import blocks
-from tidemark.llm.words import WORD_VALUE, chunks, segment_hashes, words
+from tidemark.llm.words import WORD_VALUE, chunks, mix, segment_hashes, words
 
 ENCODED = "doc_id bigint, ids array<int>, decoded string"
 DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-ASKED = "bucket int, block bigint, words binary"
-ANSWERED = "block bigint, bucket int, lengths binary, ids binary"
-PACKED = "block bigint, doc_ids array<bigint>, n_words binary, numbers binary, n_distinct int"
+ASKED = "bucket int, block bigint, mark bigint, words binary"
+ANSWERED = "block bigint, bucket int, mark bigint, lengths binary, ids binary"
+PACKED = "block bigint, doc_ids array<bigint>, n_words binary, numbers binary, mark bigint"
 ENCODE_AT_ONCE = 2048
 WORDS_AT_ONCE = 1 << 19
 
@@ -93,6 +93,8 @@ class Numbered:
         rank[order] = np.arange(len(order))
         self.numbers = rank[codes].astype("<u4") if len(codes) else np.zeros(0, "<u4")
         self.bucket = bucket[order]
+        step = np.arange(len(order), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        self.mark = int(np.bitwise_xor.reduce(mix(distinct[order] ^ step)).view(np.int64)) if len(order) else 0
         at = first[order]
         self.starts, self.ends = np.concatenate(starts)[at], np.concatenate(ends)[at]
 
@@ -138,7 +140,7 @@ def encode_words(spec: str, asked: pa.Table) -> pa.Table:
         size = lengths[want]
         rows.append((packed(size.astype("<u4")), packed(gather(flat, at[want], size).astype("<u4"))))
     return pa.table({"block": asked.column("block"), "bucket": asked.column("bucket"),
-                     "lengths": pa.array([r[0] for r in rows], pa.binary()),
+                     "mark": asked.column("mark"), "lengths": pa.array([r[0] for r in rows], pa.binary()),
                      "ids": pa.array([r[1] for r in rows], pa.binary())})
 
 
@@ -161,9 +163,10 @@ def assembled(spec: str, block: pa.Table, answers: pa.Table
     listed, edges = flat.tolist(), at.tolist()
     spoken = [b" ".join([name[t] for t in listed[lo:hi]]) if hi > lo else None
               for lo, hi in zip(edges, edges[1:])]
-    for doc_ids, n_words, numbers, n in zip(*(block.column(c).to_pylist() for c in (
-            "doc_ids", "n_words", "numbers", "n_distinct"))):
-        if n != len(lengths):
+    told = set(answers.column("mark").to_pylist())
+    for doc_ids, n_words, numbers, mark in zip(*(block.column(c).to_pylist() for c in (
+            "doc_ids", "n_words", "numbers", "mark"))):
+        if told != ({mark} if mark else set()):
             raise RuntimeError("the two passes cut different blocks: the input is not repeatable")
         per_row, number = unpacked(n_words, "<u4").astype(np.int64), unpacked(numbers, "<u4")
         bounds = np.concatenate([[0], np.cumsum(per_row)])
@@ -216,8 +219,8 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             rows = list(n.asked())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()),
-                 pa.array([block] * len(rows), pa.int64()),
-                 pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "block", "words"])
+                 pa.array([block] * len(rows), pa.int64()), pa.array([n.mark] * len(rows), pa.int64()),
+                 pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "block", "mark", "words"])
 
     def pack(batches):
         for block, ids, n in numbered(batches, buckets):
@@ -225,8 +228,8 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                 [pa.array([block], pa.int64()), pa.array([ids.to_pylist()], pa.list_(pa.int64())),
                  pa.array([packed(n.n_words)], pa.binary()),
                  pa.array([packed(n.numbers)], pa.binary()),
-                 pa.array([len(n.starts)], pa.int32())],
-                names=["block", "doc_ids", "n_words", "numbers", "n_distinct"])
+                 pa.array([n.mark], pa.int64())],
+                names=["block", "doc_ids", "n_words", "numbers", "mark"])
 
     def answer(asked: pa.Table) -> pa.Table:
         return encode_words(spec, asked)
