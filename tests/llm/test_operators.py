@@ -251,6 +251,63 @@ def test_repeats(docs, empty, rows):
     assert not repeats.without_repeats(empty).collect()
 
 
+def brute_repeats(texts):
+    first = {}
+    for i, b in texts:
+        for k in range(len(b) - 49):
+            first[b[k:k + 50]] = min(i, first.get(b[k:k + 50], i))
+    out = []
+    for i, b in texts:
+        gone = bytearray(len(b))
+        for k in range(len(b) - 49):
+            if first[b[k:k + 50]] < i:
+                gone[k:k + 50] = b"\1" * 50
+        out.append((i, bytes(c for c, g in zip(b, gone) if not g)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("collide", [False, True])
+@pytest.mark.parametrize("seed", range(4))
+def test_repeats_over_blocks(monkeypatch, seed, collide):
+    """The exchange by itself, block by block, also with hashes that all collide."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(repeats, "CHUNK", 300)
+    monkeypatch.setattr(repeats, "VERIFIED", 64)
+    if collide:
+        monkeypatch.setattr(repeats, "window_hashes", lambda part, start: np.zeros(len(start), np.uint64))
+    rng = random.Random(seed)
+    passages = ["".join(rng.choice("abc de") for _ in range(rng.choice([50, 60, 90, 200]))) for _ in range(6)]
+    passages += ["ab" * 60, "x" * 120]
+    texts = [(i, "".join(rng.choice([rng.choice(passages), "".join(rng.choice("pqrst") for _ in range(rng.randint(0, 40)))])
+                         for _ in range(rng.randint(0, 6))).encode()) for i in range(90)]
+    rng.shuffle(texts)
+    blocks = []
+    for k in range(0, 90, 17):
+        part = texts[k:k + 17]
+        blocks.append(repeats.Block([i for i, _ in part], np.frombuffer(b"".join(b for _, b in part), np.uint8),
+                                    np.concatenate([[0], np.cumsum([len(b) for _, b in part])])))
+
+    def exchange(answer, tables):
+        asked = pa.concat_tables(tables)
+        parts = [asked.filter(pa.compute.equal(asked.column("bucket"), b)) for b in range(3)]
+        return pa.concat_tables([answer(p) for p in parts if p.num_rows])
+    first = exchange(repeats.answers, [repeats.questions(k, *b.anchors(), 3) for k, b in enumerate(blocks)])
+    own = lambda table, k: table.filter(pa.compute.equal(table.column("block"), k))
+    runs = [b.around(repeats.shared_anchors(b, own(first, k), 3), 3) for k, b in enumerate(blocks)]
+    both = pa.concat_tables([first, exchange(repeats.compared, [r.questions(k) for k, r in enumerate(runs)])])
+    got = sorted((row[0], row[4]) for k, b in enumerate(blocks) for row in repeats.removed(b, own(both, k), 3))
+    assert got == brute_repeats(texts)
+
+
+def test_repeats_of_other_blocks_stop():
+    runs = repeats.Block([1, 2], np.frombuffer(b"q" * 200, np.uint8), np.array([0, 100, 200])).around(
+        np.zeros(0, np.uint64), 2)
+    assert list(runs.asked()) == [] and len(runs.hits({})) == 0
+    with pytest.raises(RuntimeError):
+        repeats.bits_of({"mark": 1, "bits": b"a"}, 2, 8)
+
+
 def test_token_counts(docs, empty, rows):
     import sentencepiece
 
@@ -364,3 +421,32 @@ def test_pipeline_keeps_rows_of_repeated_and_null_ids_apart(spark):
     null_copy = jaccard.near_duplicates(docs.where("doc_id = 9").union(
         docs.where("doc_id = 9").selectExpr("null", "text", "source", "lang")))
     assert {(r["doc_id"], r["component_id"]) for r in null_copy.collect()} == {(9, 9), (None, None)}
+
+
+def test_bpe_stops_if_the_rows_of_a_block_change():
+    import pyarrow as pa
+
+    with open(vocabulary("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = f.read()
+
+    def block(texts):
+        body = "".join(texts).encode()
+        return bpe.Numbered(np.frombuffer(body, np.uint8), np.cumsum([0, *(len(t.encode()) for t in texts)]), 2)
+
+    def asked(n):
+        rows = list(n.asked())
+        return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int32()), "block": pa.array([0] * len(rows)),
+                         "mark": pa.array([n.mark] * len(rows)), "words": pa.array([r[1] for r in rows], pa.binary())})
+
+    def answered(n):
+        table = asked(n)
+        return pa.concat_tables([bpe.encode_words(spec, table.filter(pa.compute.equal(table.column("bucket"), b)))
+                                 for b in sorted(set(table.column("bucket").to_pylist()))])
+    one, other = block(["gamma", "alpha beta"]), block(["alpha beta", "gamma"])
+    packed = pa.table({"block": [0], "doc_ids": [[2, 1]], "n_words": [bpe.packed(one.n_words)],
+                       "numbers": [bpe.packed(one.numbers)], "mark": [one.mark]})
+    ids = lambda text: bpe.tokenizer(spec).encode(text, add_special_tokens=False).ids
+    assert [(i, x.tolist()) for i, x, _ in bpe.assembled(spec, packed, answered(one))] == [
+        (2, ids("gamma")), (1, ids("alpha beta"))]
+    with pytest.raises(RuntimeError):
+        list(bpe.assembled(spec, packed, answered(other)))

@@ -44,6 +44,7 @@ from tidemark.session import discard, written
 ORDERS = 3
 #: Counters, by hash, of the sets that hold a token; a token is frequent if its counter stands
 #: out from what chance puts there. The table is of this size for any input.
+BLOCK = 8 << 20
 COUNTERS = 1 << 23
 SLICES = 16
 #: Ranks within a prefix are kept in so many steps.
@@ -104,7 +105,7 @@ def read_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
             yield b
 
     at, counts = 0, None
-    for ids, body, offsets in blocks(kept()):
+    for ids, body, offsets in blocks(kept(), BLOCK):
         sets = shingle_sets(body, offsets, n)
         digests = [set_digest(s) for s in sets]
         rows = len(ids)
@@ -118,14 +119,14 @@ def read_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
         marks, at = [mark.slice(at + rows)], 0
         single = {d: s for d, s in zip(digests, sets)}.values()
         tokens = np.concatenate([np.zeros(0, np.uint64), *single])
-        counts = np.zeros(COUNTERS, np.int64) if counts is None else counts
-        counts += np.bincount(counter(tokens), minlength=COUNTERS)
+        counts = np.zeros(COUNTERS, np.uint32) if counts is None else counts
+        place, times = np.unique(counter(tokens), return_counts=True)
+        counts[place] += times.astype(np.uint32)
     if counts is not None:
         none = pa.nulls(SLICES, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [none, none, none, none, none, pa.array(range(SLICES), pa.int32()),
-             pa.array([squeeze.compress(np.minimum(c, 2**32 - 1).astype("<u4").tobytes())
-                       for c in np.split(counts, SLICES)])],
+             pa.array([squeeze.compress(c.astype("<u4").tobytes()) for c in np.split(counts, SLICES)])],
             names=["doc_id", "mark", "n_shingles", "set_a", "set_b", "slice", "counts"])
 
 
@@ -172,7 +173,7 @@ def prefixes(batches: Iterator[pa.RecordBatch], n: int, percent: int, buckets: i
     """
     squeeze = zstandard.ZstdCompressor(level=1)
     turns = mix(ODD[:ORDERS])
-    for ids, body, offsets in blocks(batches):
+    for ids, body, offsets in blocks(batches, BLOCK):
         sets = shingle_sets(body, offsets, n)
         ids = ids.to_pylist()
         single: dict[tuple[int, int], int] = {}
