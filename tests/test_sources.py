@@ -5,6 +5,7 @@ import os
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import alerts as L
 from tidemark.operators import calendar as K
@@ -163,3 +164,15 @@ print("done")
     env |= {"SPARK_CONF_DIR": str(conf), "PYTHONPATH": f"{REPO}:{env.get('PYTHONPATH', '')}"}
     ran = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert ran.stdout.strip().endswith("done"), ran.stderr[-2000:]
+
+
+def test_equal_versions_give_one_row_whatever_the_order(spark):
+    from tidemark.operators.bars import latest_per_grain
+
+    rows = [("a", float(i), "2026-01-01", f"n{i}") for i in range(40)] + [("a", 99.0, "2025-01-01", "old")]
+    df = spark.createDataFrame(rows, "k string, v double, at string, note string").withColumn(
+        "ingested_at", F.col("at").cast("timestamp_ntz"))
+    got = {tuple(latest_per_grain(df.orderBy(F.rand(seed)).repartition(seed + 1), ["k"]).first()) for seed in range(4)}
+    assert len(got) == 1 and (row := got.pop())[1] != 99.0 and row[3] == f"n{int(row[1])}"
+    numbers = latest_per_grain(df.select(F.xxhash64("k").alias("k"), "v", "ingested_at"), ["k"])
+    assert "SortAggregate" not in numbers._jdf.queryExecution().executedPlan().toString()

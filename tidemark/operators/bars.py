@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.times import (
     FREQUENCIES, SECOND, floor_to, from_micros, instant, is_ntz, micros,
@@ -23,16 +23,17 @@ def latest_per_grain(df: DataFrame, grain: Sequence[str], version: str = "ingest
 
     Each column is its own ``max_by`` over the same ordering: the buffers stay
     primitive (hash aggregation, map-side combine, so replays of one row collapse
-    before the shuffle) and columns nobody reads are pruned. Rows of one grain see
-    the columns in the same order, so a result row is never a mix of two inputs. A row
+    before the shuffle). The tie order reads every column: select what is wanted first. Rows of one grain see
+    the columns in the same order, so a result row is never a mix of two inputs; of rows of one
+    version that differ, a hash of the whole row decides, so reruns agree. A row
     without a version stays if its grain has no other.
     """
     if version not in df.columns:
         raise MissingVersion(f"no {version} column to order duplicates by; got {df.columns}")
     if check_nulls and not df.isEmpty() and df.where(F.col(version).isNotNull()).isEmpty():
         raise MissingVersion(f"{version} is null on every row")
-    order = F.struct(version, *tiebreak) if tiebreak else versions_in_order(df, version)
     rest = [c for c in df.columns if c not in grain]
+    order = F.struct(version, *tiebreak) if tiebreak else total_order(df, version, rest)
     return (
         df.groupBy(*grain)
         .agg(*[(F.max(version) if c == version and not tiebreak else F.max_by(c, order)).alias(c)
@@ -41,6 +42,18 @@ def latest_per_grain(df: DataFrame, grain: Sequence[str], version: str = "ingest
     )
 
 
+def total_order(df: DataFrame, version: str, rest: Sequence[str]) -> Column:
+    """Version first, then a hash of the row. For dates and times one whole number, which hash
+    aggregates can hold; otherwise a struct."""
+    kind = df.schema[version].dataType
+    others = [c for c in rest if c != version and not isinstance(df.schema[c].dataType, T.MapType)]
+    tie = F.shiftrightunsigned(F.xxhash64(*(others or [version])), 2)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        at = micros(versions_in_order(df, version)).cast("decimal(19,0)")
+        return at * F.lit(1 << 62).cast("decimal(19,0)") + tie.cast("decimal(19,0)")
+    return F.struct(version, tie.alias("tie"))
+
+
 def dedup_trades(trades: DataFrame, grain: Sequence[str] = TRADE_GRAIN) -> DataFrame:
     return latest_per_grain(trades, grain)
 
@@ -66,7 +79,8 @@ def ohlcv(trades: DataFrame, freq: str = "1m", start=None, end=None, *,
             rows = rows.where(
                 F.col(time) < instant(end) + F.expr(f"INTERVAL {width // SECOND} SECONDS"))
     if not deduplicated:
-        rows = dedup_trades(rows)
+        read = dict.fromkeys([*TRADE_GRAIN, *keys, time, "price", "qty", "ingested_at"])
+        rows = dedup_trades(rows.select(*(c for c in read if c in rows.columns)))
     order = F.struct(F.col("_us"), F.col("trade_id"))
     bars = (
         rows.withColumn("_us", micros(time))
