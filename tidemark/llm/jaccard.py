@@ -423,7 +423,7 @@ def joined(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str,
     """
     spark = docs.sparkSession
     if buckets is None:
-        buckets = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
+        buckets = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
     found = written(docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(
