@@ -21,7 +21,13 @@ def asof_sql(decisions: str, trades: str, op: str = ">=", name: str = "m") -> st
 BASE = f"WITH {S.V_REPLAY}, {S.V_DECISIONS}"
 
 
-@query("j1_asof_backward", f"{BASE}, {asof_sql('v_decisions', 'v_latest')} SELECT * FROM m")
+#: Of trades of one instant the highest id is matched; an ASOF join alone takes any of them.
+SETTLED = """v_settled AS (
+  SELECT * FROM v_latest
+  QUALIFY row_number() OVER (PARTITION BY venue, symbol, ts ORDER BY trade_id DESC) = 1)"""
+
+
+@query("j1_asof_backward", f"{BASE}, {SETTLED}, {asof_sql('v_decisions', 'v_settled')} SELECT * FROM m")
 def j1(spark, sf):
     return A.asof_join(S.decisions(spark, sf), S.replay(spark, sf), version="ingested_at")
 
