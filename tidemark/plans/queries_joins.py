@@ -45,7 +45,8 @@ def j2b(spark, sf):
     return A.asof_join(S.decisions(spark, sf, "user"), S.trades(spark, sf, "user"))
 
 
-@query("j3_asof_strict_many", f"{BASE}, {asof_sql('v_decisions', 'v_latest', '>')} SELECT * FROM m")
+@query("j3_asof_strict_many",
+       f"{BASE}, {SETTLED}, {asof_sql('v_decisions', 'v_settled', '>')} SELECT * FROM m")
 def j3b(spark, sf):
     return A.asof_join(S.decisions(spark, sf), S.replay(spark, sf), version="ingested_at", strict=True,
                        few_decisions=False)
