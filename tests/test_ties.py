@@ -23,7 +23,7 @@ def events(spark, tmp_path, rows):
     return con
 
 
-@pytest.mark.parametrize("name", ["j1_asof_backward", "j3_asof_strict_many"])
+@pytest.mark.parametrize("name", ["j1_asof_backward", "j3_asof_strict_many", "j4_asof_staleness"])
 def test_highest_id_of_an_instant_is_matched(spark, tmp_path, name):
     # Ids fall and rise within an instant, and every instant holds many.
     rows = [(1 + k * 60 + (37 * n) % 60, 5 * k, 1.0 + (37 * n) % 60) for k in range(60) for n in range(60)]

@@ -64,7 +64,7 @@ STALE = """SELECT venue, symbol, query_ts, trade_ts, trade_id,
         FROM m)"""
 
 
-@query("j4_asof_staleness", f"{BASE}, {asof_sql('v_decisions', 'v_latest')} {STALE}")
+@query("j4_asof_staleness", f"{BASE}, {SETTLED}, {asof_sql('v_decisions', 'v_settled')} {STALE}")
 def j4(spark, sf):
     matched = A.asof_join(S.decisions(spark, sf), S.replay(spark, sf), version="ingested_at")
     return A.with_staleness(matched, 60.0)
