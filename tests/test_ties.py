@@ -32,3 +32,17 @@ def test_highest_id_of_an_instant_is_matched(spark, tmp_path, name):
     assert compare(con, df, ORACLES[name]) == ""
     last = {r["trade_ts"]: r["trade_id"] for r in df.where("trade_ts IS NOT NULL").collect()}
     assert all(i == 60 + 60 * ((t - START).seconds // 5) for t, i in last.items())
+
+
+@pytest.mark.parametrize("name", ["g16_bar_returns"])
+def test_a_close_of_zero_gives_no_return(spark, tmp_path, name):
+    rows = [(1 + k, 60 * k + 3, 0.0 if k in (20, 21, 90) else 10.0 + (k * k) % 17) for k in range(140)]
+    con = events(spark, tmp_path, rows)
+    assert compare(con, QUERIES[name](spark, str(tmp_path)), ORACLES[name]) == ""
+
+
+def test_a_return_is_rounded_by_its_digits(spark, tmp_path):
+    # 36.49 / 128 - 1 lies just above -0.714921875; times 1e8 it is rounded to the half itself.
+    con = events(spark, tmp_path, [(1, 3, 128.0), (2, 63, 36.49)])
+    df = QUERIES["g16_bar_returns"](spark, str(tmp_path))
+    assert compare(con, df, ORACLES["g16_bar_returns"]) == ""

@@ -98,8 +98,15 @@ def j6b(spark, sf):
     return A.decision_grid(B.ohlcv(S.replay(spark, sf), "15m"), newest=200)
 
 
-RETURNS = """r AS (SELECT *, close / lag(close) OVER (PARTITION BY venue, symbol ORDER BY bucket) - 1
-                   AS ret FROM b)"""
+#: A bar after a close of zero has no return.
+RETURNS = """r AS (
+  SELECT *, close / nullif(lag(close) OVER (PARTITION BY venue, symbol ORDER BY bucket), 0) - 1 AS ret
+  FROM b)"""
+
+
+def half_up(value: str, digits: int) -> str:
+    """Half up on the decimal digits of a double, as Spark rounds; DuckDB's own multiplies the double first."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
 def trailing_sql(window: int, name: str, upper: str) -> str:
@@ -139,7 +146,7 @@ def j8(spark, sf):
 
 
 @query("g16_bar_returns", f"""WITH {S.V_REPLAY}, {bar_sql('v_latest', 60)}, {RETURNS}
-  SELECT venue, symbol, bucket, close, round(ret, 8) AS ret FROM r""")
+  SELECT venue, symbol, bucket, close, {half_up('ret', 8)} AS ret FROM r""")
 def g16(spark, sf):
     out = T.bar_returns(B.ohlcv(S.replay(spark, sf), "1m"))
     return out.select("venue", "symbol", "bucket", "close", F.round("ret", 8).alias("ret"))
