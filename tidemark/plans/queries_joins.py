@@ -123,7 +123,7 @@ STARTED = "r.bucket < q.query_ts"
 
 @query("j7_trailing_window", f"""{BASE}, {bar_sql('v_latest', 60)}, {RETURNS},
   {trailing_sql(120, 'w', ENDED)}
-  SELECT venue, symbol, query_ts, round(vol, 8) AS realised_vol, n AS bars_in_window FROM w""")
+  SELECT venue, symbol, query_ts, {half_up('vol', 8)} AS realised_vol, n AS bars_in_window FROM w""")
 def j7(spark, sf):
     returns = T.bar_returns(B.ohlcv(S.replay(spark, sf), "1m"))
     out = T.attach_trailing(S.decisions(spark, sf), returns, window_minutes=120)
