@@ -34,7 +34,7 @@ def test_highest_id_of_an_instant_is_matched(spark, tmp_path, name):
     assert all(i == 60 + 60 * ((t - START).seconds // 5) for t, i in last.items())
 
 
-@pytest.mark.parametrize("name", ["g16_bar_returns", "j7_trailing_window"])
+@pytest.mark.parametrize("name", ["g16_bar_returns", "j7_trailing_window", "j8_lookahead_audit"])
 def test_a_close_of_zero_gives_no_return(spark, tmp_path, name):
     rows = [(1 + k, 60 * k + 3, 0.0 if k in (20, 21, 90) else 10.0 + (k * k) % 17) for k in range(140)]
     con = events(spark, tmp_path, rows)

@@ -132,10 +132,11 @@ def j7(spark, sf):
 
 @query("j8_lookahead_audit", f"""{BASE}, {bar_sql('v_latest', 60)}, {RETURNS},
   {trailing_sql(240, 'w1', ENDED)}, {trailing_sql(240, 'w2', STARTED)}
-  SELECT symbol, count(*) AS decisions, round(quantile_cont(ratio, 0.5), 6) AS median_ratio,
-         round(max(ratio), 6) AS worst_ratio,
-         round(avg(CASE WHEN ratio > 1.05 THEN 1.0 ELSE 0.0 END), 6) AS share_over
-  FROM (SELECT w1.symbol, w2.vol / w1.vol AS ratio FROM w1 JOIN w2 USING (venue, symbol, query_ts)
+  SELECT symbol, count(*) AS decisions, {half_up('quantile_cont(ratio, 0.5)', 6)} AS median_ratio,
+         {half_up('max(ratio)', 6)} AS worst_ratio,
+         {half_up('avg(CAST(ratio > 1.05 AS DOUBLE))', 6)} AS share_over
+  FROM (SELECT w1.symbol, w2.vol / nullif(w1.vol, 0) AS ratio
+        FROM w1 JOIN w2 USING (venue, symbol, query_ts)
         WHERE w1.vol IS NOT NULL AND w2.vol IS NOT NULL)
   GROUP BY symbol""")
 def j8(spark, sf):
