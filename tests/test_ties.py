@@ -23,7 +23,8 @@ def events(spark, tmp_path, rows):
     return con
 
 
-@pytest.mark.parametrize("name", ["j1_asof_backward", "j3_asof_strict_many", "j4_asof_staleness"])
+@pytest.mark.parametrize("name", ["j1_asof_backward", "j3_asof_strict_many", "j4_asof_staleness",
+                                  "n1_research_frame"])
 def test_highest_id_of_an_instant_is_matched(spark, tmp_path, name):
     # Ids fall and rise within an instant, and every instant holds many.
     rows = [(1 + k * 60 + (37 * n) % 60, 5 * k, 1.0 + (37 * n) % 60) for k in range(60) for n in range(60)]
@@ -34,7 +35,8 @@ def test_highest_id_of_an_instant_is_matched(spark, tmp_path, name):
     assert all(i == 60 + 60 * ((t - START).seconds // 5) for t, i in last.items())
 
 
-@pytest.mark.parametrize("name", ["g16_bar_returns", "j7_trailing_window", "j8_lookahead_audit"])
+@pytest.mark.parametrize("name", ["g16_bar_returns", "j7_trailing_window", "j8_lookahead_audit",
+                                  "n1_research_frame"])
 def test_a_close_of_zero_gives_no_return(spark, tmp_path, name):
     rows = [(1 + k, 60 * k + 3, 0.0 if k in (20, 21, 90) else 10.0 + (k * k) % 17) for k in range(140)]
     con = events(spark, tmp_path, rows)

@@ -20,7 +20,6 @@ def asof_sql(decisions: str, trades: str, op: str = ">=", name: str = "m") -> st
 
 BASE = f"WITH {S.V_REPLAY}, {S.V_DECISIONS}"
 
-
 #: Of trades of one instant the highest id is matched; an ASOF join alone takes any of them.
 SETTLED = """v_settled AS (
   SELECT * FROM v_latest
@@ -170,10 +169,10 @@ def a16(spark, sf):
     return A.staleness_summary(m).withColumn("median_age", F.round("median_age", 6))
 
 
-@query("n1_research_frame", f"""{BASE}, {asof_sql('v_decisions', 'v_latest')},
+@query("n1_research_frame", f"""{BASE}, {SETTLED}, {asof_sql('v_decisions', 'v_settled')},
   {bar_sql('v_latest', 60)}, {RETURNS}, {trailing_sql(60, 'w', ENDED)},
   s AS ({STALE})
-  SELECT s.*, round(w.vol, 8) AS realised_vol, w.n AS bars_in_window
+  SELECT s.*, {half_up('w.vol', 8)} AS realised_vol, w.n AS bars_in_window
   FROM s JOIN w USING (venue, symbol, query_ts)""")
 def n1(spark, sf):
     from tidemark.plans.serve import research_frame
