@@ -28,6 +28,7 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -39,12 +40,12 @@ from tidemark.llm.blocks import blocks
 from tidemark.llm.components import components
 from tidemark.llm.words import (
     LOWER, WORD_VALUE, chunks, mix, segment_hashes, text_bytes, words)
-from tidemark.session import discard, written
+from tidemark.session import collect_garbage, discard, written
 
 ORDERS = 3
 #: Counters, by hash, of the sets that hold a token; a token is frequent if its counter stands
 #: out from what chance puts there. The table is of this size for any input.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 COUNTERS = 1 << 23
 SLICES = 16
 #: Ranks within a prefix are kept in so many steps.
@@ -423,7 +424,7 @@ def joined(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str,
     """
     spark = docs.sparkSession
     if buckets is None:
-        buckets = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        buckets = max(4, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
     found = written(docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(
@@ -433,9 +434,6 @@ def joined(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str,
         found.where("slice IS NOT NULL").select("slice", "counts")).tobytes())
     packed = written(docs.mapInArrow(lambda b: prefixes(b, n, percent, buckets, np.frombuffer(
         zstandard.ZstdDecompressor().decompress(levels), np.uint32)), PREFIXES), "prefixes")
-    met = packed.where("bucket IS NOT NULL").groupBy("ord", "bucket").applyInArrow(
-        lambda group: meetings(percent, group), MET)
-    met = met.unionByName(packed.where("bucket IS NULL").select("ord", "token", "doc_id"))
     classes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(
         "set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("class"),
                                             F.countDistinct("doc_id").alias("members"))
@@ -443,14 +441,22 @@ def joined(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str,
     members = classes.select("class", "members")
     member = sets.where("doc_id IS NOT NULL").join(
         classes, ["set_a", "set_b", "n_shingles"]).select("doc_id", "class", "n_shingles").distinct()
-    met = met.join(member, "doc_id").select("ord", "token", F.col("class").alias("doc_id"),
-                                            F.col("n_shingles").alias("n")).distinct()
-    every = met = written(met, "met-all")
+    every = []
+    for o in range(ORDERS):      # the groups of one order are gone from the disks before the next are dealt
+        mine = packed.where(F.col("ord") == o)
+        met = mine.where("bucket IS NOT NULL").groupBy("ord", "bucket").applyInArrow(
+            lambda group: meetings(percent, group), MET)
+        met = met.unionByName(mine.where("bucket IS NULL").select("ord", "token", "doc_id"))
+        every.append(written(met.join(member, "doc_id").select(
+            "ord", "token", F.col("class").alias("doc_id"), F.col("n_shingles").alias("n")).distinct(), "met-one"))
+        del mine, met
+        collect_garbage(spark)
+    met = reduce(DataFrame.unionByName, every)
     discard(packed)
     whole = met.groupBy("doc_id").agg(F.countDistinct("ord").alias("orders")).where(
         F.col("orders") == ORDERS).select("doc_id")
     met = written(met.join(whole, "doc_id", "left_semi"), "met")
-    discard(every)
+    discard(*every)
 
     step = float(np.log(100 / percent))
     like = met.withColumn("band", F.floor(F.log("n") / F.lit(step)).cast("int"))
