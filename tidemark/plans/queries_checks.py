@@ -10,6 +10,7 @@ from tidemark.operators import contract as C
 from tidemark.plans.queries_calendar import CAL, calendar_sql, sample_calendar
 from tidemark.plans.queries_gate import RAW, TOTALS, gated
 from tidemark.plans.registry import query
+from tidemark.session import written
 from tidemark.sources import samples as S
 
 CHECK = ["check_name", "status", "measure", "rows_in", "rows_out"]
@@ -379,5 +380,6 @@ def i3(spark, sf):
          (SELECT count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) AS only_right""")
 def i4(spark, sf):
     from tidemark.sources.tables import difference
-    clean = gated(spark, sf).clean
+    # Stored once: deduplicated within the comparison, each task would sort both sides beside its groups.
+    clean = written(gated(spark, sf).clean, "clean")
     return difference(clean, clean.where("trade_id % 1000 <> 7"))
