@@ -1,7 +1,10 @@
 """Steps whose memory in one task once grew faster than they needed."""
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.oracle import compare, connect
+from tidemark.functions import quantiles
 from tidemark.operators import contract as C
 from tidemark.plans.catalogue import ORACLES, QUERIES
 
@@ -40,3 +43,29 @@ def test_deduplication_without_arrival_or_without_further_columns(spark):
     assert sorted(map(tuple, gate(df, []).unique.collect())) == [(1, 3), (2, 1)]
     at = df.withColumn("at", F.lit("t"))
     assert sorted(map(tuple, gate(at, ["at"]).clean.collect())) == [(1,), (2,)]
+
+
+def broadcast_lines(df) -> list[str]:
+    """The lines of a plan below its broadcast exchanges."""
+    out, inside = [], None
+    for line in plan(df).splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        if inside is not None and depth > inside:
+            out.append(line)
+        else:
+            inside = depth if "BroadcastExchange" in line else None
+    return out
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_values_of_a_quantile_are_not_broadcast(spark, monkeypatch, few):
+    made, written = [], quantiles.written
+    monkeypatch.setattr(quantiles, "written", lambda df, label: made.append(df) or written(df, label))
+    if not few:
+        monkeypatch.setattr(quantiles, "within", lambda df: False)
+        monkeypatch.setattr(quantiles, "small", lambda df: df)
+    rows = [(f"k{i % 3}", float(i * i % 997)) for i in range(3000)]
+    got = quantiles.exact_quantile(spark.createDataFrame(rows, "k string, v double"), ["k"], "v")
+    want = {k: np.median([v for j, v in rows if j == k]) for k in ("k0", "k1", "k2")}
+    assert {r["k"]: r["quantile"] for r in got.collect()} == want
+    assert not [x for df in [*made, got] for x in broadcast_lines(df) if "FileScan" in x and "_v#" in x]
