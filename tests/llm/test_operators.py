@@ -2,6 +2,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -337,6 +338,50 @@ def test_licenses(docs, empty, rows):
     assert len(licenses.rules()) > 200 and not licenses.scan(empty).collect()
 
 
+def brute_labels(low):
+    """Labels and confidence of the rules tried on the whole text, and every place against every other."""
+    seen = [(m.start(), m.end(), r["rank"], r["n"], r["label"], r["sure"]) for r in licenses.rules()
+            if all(k in low for k in r["keys"]) for m in re.finditer(r["rx"], low, re.ASCII)]
+    held = [a for a in seen if not any(
+        b[0] <= a[0] and b[1] >= a[1] and (b[2:4] < a[2:4] if a[:2] == b[:2] else b[2] <= a[2])
+        for b in seen)]
+    return {a[4] for a in held}, max((a[5] for a in held), default=0.0)
+
+
+def test_licenses_in_every_form(spark):
+    rng = random.Random(4)
+    names, tags, addresses = ([x for parts in licenses.LICENSES.values() for x in parts[k]] for k in range(3))
+    before = ["", "", "licensed under ", "available under the terms of the ", "conditions of ", "see the ",
+              "copy of the ", "spdx-license-identifier: ", "https://www.", "x", "é"]
+    after = ["", "", " version 2.0", " v 3", " version 2.0b", "  version 12.3.4", "/", "/2.0", "s", "é", " 3", "."]
+    words = [w for w in licenses.follows() if w != licenses.NUMBER] + ["x", "licensee", "é", "7", "version", "v"]
+
+    def part():
+        if rng.random() < 0.3:
+            return rng.choice(" -_\n").join(rng.choice(words) for _ in range(rng.randint(1, 6)))
+        x = rng.choice(rng.choice([names, tags, addresses])).replace(" ", rng.choice([" ", " ", "-", " \n", "_"]))
+        return rng.choice(before) + x + rng.choice(after)
+
+    texts = [rng.choice([" ", ", ", "\n", "/"]).join(part() for _ in range(rng.randint(1, 5)))
+             for _ in range(1500)]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in got:
+        labels, sure = brute_labels(texts[r["doc_id"]])
+        base = set(r["base_labels"].split(",")) - {""}
+        assert set(r["labels"].split(",")) - {""} == labels | base, texts[r["doc_id"]]
+        assert r["score"] == max(sure, 0.6 if base else 0.0), texts[r["doc_id"]]
+
+
+def test_licenses_of_a_text_full_of_them(spark):
+    lines = 12_000
+    text = "Licensed under the MIT License, version 2. See the Apache License.\n" * lines
+    start = time.monotonic()
+    (got,) = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert time.monotonic() - start < 60
+    assert (got["n_base"], got["first_word"], got["last_word"]) == (2 * lines, 3, 11 * lines - 2)
+    assert (got["labels"], got["score"]) == ("apache,mit", 0.95)
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(3)
     data = [(i, [float(x) for x in rng.normal(size=20)]) for i in range(300)]

@@ -4,7 +4,8 @@ A rule is a label, a regular expression, the keywords that must all occur before
 expression is tried, a rank and a confidence. The rules come from the names of each license and a list
 of templates, some hundreds in all. Places found by the rules compete: a place within the
 place of a rule of the same or a better rank is dropped, as is the worse of two rules at one
-place.
+place. One pass cuts the text to its distinct stretches of words that may follow each other in a
+rule; a place lies within one stretch, so the rules are tried on each alone.
 
 Beside that stand the base phrases: places where a phrase's words stand consecutively. Their
 labels are always reported.
@@ -15,6 +16,7 @@ are scanned each. An empty table gives an empty result; other columns are ignore
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -77,8 +79,8 @@ TEMPLATES = [
     ("tag", "spdx" + GAP + "license" + GAP + "identifier" + GAP + "{x}", 1, 1.0),
     ("name", "(?:licensed|released|distributed|available|published)" + GAP
      + "under" + GAP + "(?:the" + GAP + ")?(?:terms" + GAP + "of" + GAP + "the" + GAP
-     + ")?{x}(?:" + GAP + "v(?:ersion)?" + GAP + r"?\d+(?:\.\d+)?)?", 2, 0.95),
-    ("name", "{x}" + GAP + "v(?:ersion)?" + GAP + r"?\d+(?:\.\d+)?", 3, 0.9),
+     + ")?{x}(?:" + GAP + "(?:v|version)" + GAP + r"?\d+(?:\.\d+)?)?", 2, 0.95),
+    ("name", "{x}" + GAP + "(?:v|version)" + GAP + r"?\d+(?:\.\d+)?", 3, 0.9),
     ("name", "(?:terms|conditions)" + GAP + "of" + GAP + "(?:the" + GAP + ")?{x}", 3, 0.9),
     ("name", "(?:see|copy" + GAP + "of)" + GAP + "(?:the" + GAP + ")?{x}", 4, 0.8),
     ("name", "{x}", 5, 0.7),
@@ -87,6 +89,8 @@ TEMPLATES = [
 #: One of these occurs in every text that a rule or a base phrase can match.
 GATES = ["licen", "spdx", "gnu", "cc", "creative", "wtfpl", ".org/", "zlib", "python.org", ".eu/"]
 CASED_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
+NUMBER = "[0-9]+"
 
 
 def quoted(text: str) -> str:
@@ -108,6 +112,59 @@ def rules() -> list[dict]:
     return out
 
 
+def follows() -> dict[str, set[str]]:
+    """The words of all rules, and after each those that may follow it within a rule, or more."""
+    out: dict[str, set[str]] = {}
+
+    def meet(left, right):
+        for a in left:
+            out.setdefault(a, set()).update(right)
+
+    for names, tags, addresses in LICENSES.values():
+        for kind, template, _, _ in TEMPLATES:
+            before, after = ([NUMBER if w == "\\d" else w for w in re.findall(r"[a-z]+|\\d", part)]
+                             for part in template.replace(GAP, " ").split("{x}"))
+            meet(before, before)
+            meet(after, after)
+            for x in {"name": names, "tag": tags, "address": addresses}[kind]:
+                words = re.split(GAP, x.strip("/"))
+                meet(before, words[:1])
+                for a, b in zip(words, words[1:]):
+                    meet([a], [b])
+                meet(words[-1:], after)
+    return out
+
+
+def any_of(ends: dict[str, str]) -> str:
+    """An expression for one of the words with what must come after it, tried by their first letter."""
+    by_letter: dict[str, list[str]] = {}
+    for word, end in ends.items():
+        first, rest = (NUMBER, "") if word == NUMBER else (word[0], word[1:])
+        by_letter.setdefault(first, []).append(rest + end)
+    return "(?:" + "|".join(f"{a}(?:{'|'.join(b)})" for a, b in by_letter.items()) + ")"
+
+
+def stretches(low: Column) -> Column:
+    """The distinct longest stretches of words that may follow each other, where a rule may match.
+
+    They begin and end with whole words, and keep the stroke that ends an address, so a rule
+    finds in them what it finds in the text.
+    """
+    after = follows()
+    step = any_of({w: f"{GAP}+(?={any_of(dict.fromkeys(sorted(f), ''))})"
+                   for w, f in after.items() if f})
+    rx = f"(?<!{WORD}){step}*+{any_of(dict.fromkeys(after, ''))}{WORD}*+/?"
+    found = F.array_distinct(F.regexp_extract_all(low, F.lit(rx), F.lit(0)))
+    return F.filter(found, gated)
+
+
+def gated(low: Column) -> Column:
+    gate = F.lit(False)
+    for g in GATES:
+        gate = gate | F.contains(low, F.lit(g))
+    return gate
+
+
 def places(text: Column, rx: Column) -> Column:
     """Start and end of every match: the text between matches gives the lengths before each."""
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<lo:int,hi:int>>").alias("out"))
@@ -171,16 +228,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                     count_between(text, CASED_GAP).alias("n_words"),
                     F.lower(text).alias("low"))
-    gate = F.lit(False)
-    for g in GATES:
-        gate = gate | F.contains("low", F.lit(g))
-    d = d.withColumn("low", F.when(gate, F.col("low")).otherwise(""))
+    d = d.withColumn("low", F.when(gated(F.col("low")), F.col("low")).otherwise(""))
     table_of = F.filter(let(F.split("low", GAP, -1), spots), lambda x: x["phrase"].isNotNull())
+    held = F.flatten(F.transform(stretches(F.col("low")), lambda part: let(
+        detections(table, part), undefeated)))
     d = d.select("doc_id", "n_words", F.when(F.col("low") != "", table_of).alias("spots"),
-                 F.when(F.col("low") != "", let(F.col("low"), lambda low: detections(table, low)))
-                 .alias("seen"))
+                 F.when(F.col("low") != "", held).alias("held"))
     none = F.array().cast("array<string>")
-    d = d.select("doc_id", "n_words", "spots", let(F.col("seen"), undefeated).alias("held"))
     base = F.coalesce(F.array_sort(F.array_distinct(F.transform(
         "spots", lambda x: F.element_at(base_labels, x["phrase"])))), none)
     found = F.coalesce(F.col("held")["label"], none)
