@@ -352,8 +352,9 @@ def test_licenses_in_every_form(spark):
     rng = random.Random(4)
     names, tags, addresses = ([x for parts in licenses.LICENSES.values() for x in parts[k]] for k in range(3))
     before = ["", "", "licensed under ", "available under the terms of the ", "conditions of ", "see the ",
-              "copy of the ", "spdx-license-identifier: ", "https://www.", "x", "é"]
+              "copy of the ", "spdx-license-identifier: ", "https://www.", "x", "é", "😀"]
     after = ["", "", " version 2.0", " v 3", " version 2.0b", "  version 12.3.4", "/", "/2.0", "s", "é", " 3", "."]
+    assert all(any(g in k for g in licenses.GATES for k in r["keys"]) for r in licenses.rules())
     words = [w for w in licenses.follows() if w != licenses.NUMBER] + ["x", "licensee", "é", "7", "version", "v"]
 
     def part():

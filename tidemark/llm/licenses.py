@@ -20,7 +20,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.columns import count_between, let
+from tidemark.llm.columns import let
 
 #: The base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by",
@@ -87,9 +87,10 @@ TEMPLATES = [
     ("address", "{x}", 4, 0.85),
 ]
 #: One of these occurs in every text that a rule or a base phrase can match.
-GATES = ["licen", "spdx", "gnu", "cc", "creative", "wtfpl", ".org/", "zlib", "python.org", ".eu/"]
-CASED_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
+GATES = ["licen", "spdx", "gnu", "cc", "creative", "wtfpl", ".org/", ".eu/"]
+#: A character of a word, lower-cased; ranges are tested faster than the complement of a gap.
+WORD = r"[0-9a-z\x80-\x{10FFFF}]"
+CASED_WORDS = r"[0-9A-Za-z\x80-\x{10FFFF}]+"
 NUMBER = "[0-9]+"
 
 
@@ -226,7 +227,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     table = F.from_json(F.lit(json.dumps(rules())), shape)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                    count_between(text, CASED_GAP).alias("n_words"),
+                    (F.size(F.split(text, CASED_WORDS, -1)) - 1).cast("bigint").alias("n_words"),
                     F.lower(text).alias("low"))
     d = d.withColumn("low", F.when(gated(F.col("low")), F.col("low")).otherwise(""))
     table_of = F.filter(let(F.split("low", GAP, -1), spots), lambda x: x["phrase"].isNotNull())
