@@ -114,7 +114,11 @@ def rules() -> list[dict]:
 
 
 def follows() -> dict[str, set[str]]:
-    """The words of all rules, and after each those that may follow it within a rule, or more."""
+    """The words of all rules, and after each those that may follow it within a rule, or more.
+
+    A fixed phrase before a name counts as one word: else "license" in it would join the end of
+    one name to the start of the next, and stretches would grow with a list of licenses.
+    """
     out: dict[str, set[str]] = {}
 
     def meet(left, right):
@@ -125,6 +129,8 @@ def follows() -> dict[str, set[str]]:
         for kind, template, _, _ in TEMPLATES:
             before, after = ([NUMBER if w == "\\d" else w for w in re.findall(r"[a-z]+|\\d", part)]
                              for part in template.replace(GAP, " ").split("{x}"))
+            if "(" not in template:
+                before = [GAP.join(before)] if before else []
             meet(before, before)
             meet(after, after)
             for x in {"name": names, "tag": tags, "address": addresses}[kind]:
